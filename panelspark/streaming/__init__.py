@@ -1,0 +1,9 @@
+"""Streaming: intentionally empty.
+
+The analyses this package reproduces are batch reports over complete daily
+panels. They rely on row-count frames, whole-series ranks and per-entity
+latest rows, none of which Structured Streaming supports on an unbounded
+input (Spark rejects non-time windows on streams), and the reference has no
+watermark, event-time window or stateful construct. New days are handled by
+re-running a job over the (partition-pruned) panel table.
+"""
