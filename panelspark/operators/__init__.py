@@ -5,10 +5,11 @@ from panelspark.operators.latest import latest_date, latest_global, latest_per_e
 from panelspark.operators.milestones import crossings, pivot_dates
 from panelspark.operators.profile import two_level_profile
 from panelspark.operators.profiling import completeness, overview
-from panelspark.operators.ranking import global_row_number, top_k
+from panelspark.operators.ranking import add_row_numbers, global_row_number, top_k
 from panelspark.operators.rolling import rolling, rolling_stat, series_window, shifted
 
 __all__ = [
+    "add_row_numbers",
     "completeness",
     "crossings",
     "duplicate_keys",

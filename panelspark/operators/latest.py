@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from panelspark.session import ensure_checkpoint_dir
+
 
 def latest_date(df: DataFrame, date: str = "date", where: Column | None = None) -> Column:
     """Scalar subquery: the maximum ``date`` among rows matching ``where``.
@@ -16,14 +18,26 @@ def latest_date(df: DataFrame, date: str = "date", where: Column | None = None)
     return base.select(F.max(date)).scalar()
 
 
-def latest_global(df: DataFrame, date: str = "date", where: Column | None = None) -> DataFrame:
+def latest_global(
+    df: DataFrame, date: str = "date", where: Column | None = None, materialize: bool = True
+) -> DataFrame:
     """Rows matching ``where`` whose ``date`` equals the latest such date.
 
     Entities that did not report on that day are absent: "latest" is one date
     for the whole table, not per entity (see ``latest_per_entity``).
+
+    The maximum is a scalar subquery, which Spark plans separately from the
+    outer query; with a derived input both would recompute the derivation
+    (column pruning makes their shuffles differ, so none is reused). With
+    ``materialize`` the filtered input is checkpointed once to the shared
+    checkpoint folder and both read that copy. Select only the needed columns
+    before calling: nothing is pruned through a checkpoint.
     """
     base = df if where is None else df.where(where)
-    return base.where(F.col(date) == latest_date(df, date, where))
+    if materialize:
+        ensure_checkpoint_dir(df.sparkSession)
+        base = base.checkpoint(eager=True)
+    return base.where(F.col(date) == base.select(F.max(date)).scalar())
 
 
 def latest_per_entity(

@@ -62,6 +62,36 @@ def global_row_number(
     )
 
 
+# Up to this many rows a ranking runs as a plain unpartitioned window (one
+# task sorts them); beyond it the distributed ``global_row_number`` is used.
+SINGLE_TASK_ROWS = 1_000_000
+
+
+def add_row_numbers(
+    df: DataFrame,
+    rankings: Sequence[tuple[str, Sequence[Column]]],
+    single_task_rows: int = SINGLE_TASK_ROWS,
+) -> DataFrame:
+    """Add one global ``row_number`` column per ``(name, order)``.
+
+    The input is materialised once with ``checkpoint()`` into the shared
+    checkpoint folder (lineage cut: the rankings and the size check read it
+    instead of recomputing the upstream plan), and its row count is taken from
+    the materialised copy. Small inputs are ranked with ordinary windows; above
+    ``single_task_rows`` every ranking is a distributed ``global_row_number``,
+    so the size of what one task sorts is always bounded.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    base = df.checkpoint(eager=True)
+    if base.count() <= single_task_rows:
+        return base.select(
+            "*", *[F.row_number().over(Window.orderBy(*order)).cast("long").alias(name) for name, order in rankings]
+        )
+    for name, order in rankings:
+        base = global_row_number(base, order, name)
+    return base
+
+
 def top_k(df: DataFrame, k: int, order: Sequence[Column]) -> DataFrame:
     """The first ``k`` rows in ``order``: each task keeps its own k best rows and
     only those reach the final merge (TakeOrderedAndProject)."""

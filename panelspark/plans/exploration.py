@@ -207,7 +207,8 @@ def consistency_check(deaths: DataFrame, spec: PanelSpec = DEFAULT) -> DataFrame
 
 def latest_summary(deaths: DataFrame, spec: PanelSpec = DEFAULT) -> DataFrame:
     """Totals and global rates over the rows at the table's latest date."""
-    latest = latest_global(deaths, spec.date, F.col(spec.group).isNotNull())
+    panel = deaths.select(spec.group, spec.entity, spec.date, "population", "total_cases", "total_deaths")
+    latest = latest_global(panel, spec.date, F.col(spec.group).isNotNull())
     cases, deaths_, pop = F.sum("total_cases"), F.sum("total_deaths"), F.sum("population")
     return latest.agg(
         F.lit(bands.GLOBAL_SUMMARY).alias("metric"),

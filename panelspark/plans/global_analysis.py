@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from panelspark.functions import bands
 from panelspark.functions.ratios import growth_pct, pct_ratio
 from panelspark.operators.latest import latest_global
-from panelspark.operators.ranking import global_row_number, top_k
+from panelspark.operators.ranking import add_row_numbers, top_k
 from panelspark.operators.rolling import rolling, series_window, shifted
 from panelspark.plans.exploration import grouped_rows
 from panelspark.spec import DEFAULT, PanelSpec
@@ -72,10 +72,12 @@ def entity_rankings(deaths: DataFrame, k: int = 20, spec: PanelSpec = DEFAULT) -
     ``k`` by cases or by deaths.
 
     Rankings use the unrounded values, descending, ties broken by entity name.
-    Each ranking is a distributed ``global_row_number`` (range-partitioned
-    sort), so the number of entities is not limited by one task.
+    ``add_row_numbers`` ranks one row per entity: ordinary windows while the
+    entity count is small, a distributed range-partitioned ranking beyond
+    that, so the number of entities is not limited by one task.
     """
-    latest = latest_global(deaths, spec.date, F.col(spec.group).isNotNull()).where(
+    panel = deaths.select(spec.group, spec.entity, spec.date, "population", "total_cases", "total_deaths")
+    latest = latest_global(panel, spec.date, F.col(spec.group).isNotNull()).where(
         (F.col("total_cases") > 0) & (F.col("total_deaths") > 0)
     )
     ranked = latest.select(
@@ -88,8 +90,9 @@ def entity_rankings(deaths: DataFrame, k: int = 20, spec: PanelSpec = DEFAULT) -
         pct_ratio("total_deaths", "population").alias("_death"),
         pct_ratio("total_deaths", "total_cases").alias("_fatality"),
     )
-    for name, metric in _RANKINGS:
-        ranked = global_row_number(ranked, [F.col(metric).desc_nulls_last(), F.col(spec.entity)], name)
+    ranked = add_row_numbers(
+        ranked, [(name, [F.col(metric).desc_nulls_last(), F.col(spec.entity)]) for name, metric in _RANKINGS]
+    )
     return (
         ranked.where((F.col("rank_by_total_cases") <= k) | (F.col("rank_by_total_deaths") <= k))
         .select(
@@ -113,7 +116,8 @@ def group_percentiles(deaths: DataFrame, spec: PanelSpec = DEFAULT) -> DataFrame
 
     The percent ranks run on one row per group (bounded by the group count).
     """
-    latest = latest_global(deaths, spec.date, F.col(spec.group).isNotNull()).where(F.col("total_cases") > 0)
+    panel = deaths.select(spec.group, spec.entity, spec.date, "population", "total_cases", "total_deaths")
+    latest = latest_global(panel, spec.date, F.col(spec.group).isNotNull()).where(F.col("total_cases") > 0)
     stats = latest.groupBy(spec.group).agg(
         F.count_distinct(spec.entity).alias("countries_count"),
         F.round(F.avg(pct_ratio("total_cases", "population")), 2).alias("avg_infection_rate"),

@@ -34,10 +34,10 @@ def _q(name, build, sql, kind="operator"):
 # --- operators ---------------------------------------------------------------
 
 def _latest_global(spark: SparkSession, root: str) -> DataFrame:
-    d = deaths_panel(spark, root)
-    return latest_global(d, "date", F.col("continent").isNotNull()).select(
+    d = deaths_panel(spark, root).select(
         "continent", "location", "date", "population", "total_cases", "total_deaths"
     )
+    return latest_global(d, "date", F.col("continent").isNotNull())
 
 
 LATEST_GLOBAL_SQL = f"""

@@ -20,6 +20,8 @@ BASE_CONF = {
     # A join on (entity, date) may reuse a partitioning on entity alone, so a
     # join followed by a per-entity window shuffles once instead of twice.
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    # Checkpoint files (lineage cuts) are deleted once no DataFrame refers to them.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
