@@ -47,15 +47,17 @@ def pivot_dates(
     label: str,
     date: str,
     columns: Sequence[tuple[str, str]],
+    pick: str = "last",
 ) -> DataFrame:
     """One row per ``keys`` with one date column per label.
 
-    ``columns`` lists (label value, output column). Each output is
-    ``max(date)`` over the rows carrying that label, so a label that occurs
-    more than once gives its last date. A plain grouped aggregate: partial
-    aggregation on the map side, one row per key after the shuffle.
+    ``columns`` lists (label value, output column). Each output is the
+    ``max`` (``pick="last"``) or ``min`` (``pick="first"``) date over the rows
+    carrying that label. A plain grouped aggregate: partial aggregation on the
+    map side, one row per key after the shuffle.
     """
+    agg = {"last": F.max, "first": F.min}[pick]
     lab = F.col(label)
     return df.groupBy(*keys).agg(
-        *[F.max(F.when(lab == value, F.col(date))).alias(out) for value, out in columns]
+        *[agg(F.when(lab == value, F.col(date))).alias(out) for value, out in columns]
     )

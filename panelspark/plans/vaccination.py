@@ -102,17 +102,20 @@ MILESTONE_COLUMNS = (
 )
 
 
-def milestone_timeline(vax: DataFrame, k: int = 30, spec: PanelSpec = DEFAULT) -> DataFrame:
+def milestone_timeline(
+    vax: DataFrame, k: int = 30, crossing: str = "last", spec: PanelSpec = DEFAULT
+) -> DataFrame:
     """The date each entity crossed 10/30/50/70 % coverage and the days
     between milestones; entities that reached 10 % and 30 %, earliest first.
 
-    A crossing needs the previous reported row below the threshold; if an
-    entity crosses the same threshold twice the later date is reported.
+    A crossing needs the previous reported row below the threshold. If an
+    entity crosses the same threshold twice, ``crossing="last"`` (the original
+    analysis) reports the later date and ``crossing="first"`` the earlier one.
     """
     e, d = spec.entity, spec.date
     rows = grouped_rows(vax, spec).where(F.col(COVERAGE).isNotNull()).select(e, spec.group, d, COVERAGE)
     marked = crossings(rows, COVERAGE, bands.MILESTONES, e, d).where(F.col("milestone_reached").isNotNull())
-    dates = pivot_dates(marked, (e, spec.group), "milestone_reached", d, MILESTONE_COLUMNS)
+    dates = pivot_dates(marked, (e, spec.group), "milestone_reached", d, MILESTONE_COLUMNS, pick=crossing)
     r10, r30, r50, r70 = (F.col(c) for _, c in MILESTONE_COLUMNS)
     timeline = dates.where(r10.isNotNull() & r30.isNotNull()).select(
         e,

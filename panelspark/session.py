@@ -50,12 +50,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
     On a cluster ``spark.checkpoint.dir`` points at shared storage and is used
-    as is. Only when it is unset (local runs, tests) do we create one.
+    as is; a cluster without it is an error (a machine-local folder would not
+    survive the loss of the executor that wrote it). Only local runs and tests
+    without the setting get a temporary folder of their own.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
         current = spark.sparkContext.getCheckpointDir()
     if not current:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: name a shared folder (HDFS, object store) for checkpoints"
+            )
         current = tempfile.mkdtemp(prefix="panelspark-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(current)

@@ -165,6 +165,9 @@ def test_milestones_first_arm_recrossing_and_first_row(spark):
     timeline = {r.location: r for r in vx.milestone_timeline(vax(spark, rows)).collect()}
     assert timeline["recross"].reached_10_percent == day(3)  # the last crossing wins
     assert timeline["recross"].days_10_to_30_percent == 1
+    first = {r.location: r for r in vx.milestone_timeline(vax(spark, rows), crossing="first").collect()}
+    assert first["recross"].reached_10_percent == day(1)
+    assert first["recross"].days_10_to_30_percent == 3
 
 
 def test_duplicate_keys_fan_out_and_latest(spark):
