@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from panelspark.functions import bands
 from panelspark.functions.ratios import growth_pct, pct_ratio
 from panelspark.operators.latest import latest_global
-from panelspark.operators.ranking import add_row_numbers, top_k
-from panelspark.operators.rolling import rolling, series_window, shifted
+from panelspark.operators.ranking import SINGLE_TASK_ROWS, add_row_numbers, top_k
+from panelspark.operators.rolling import rolling, shifted
 from panelspark.plans.exploration import grouped_rows
 from panelspark.spec import DEFAULT, PanelSpec
 
@@ -66,7 +66,9 @@ _RANKINGS = (
 )
 
 
-def entity_rankings(deaths: DataFrame, k: int = 20, spec: PanelSpec = DEFAULT) -> DataFrame:
+def entity_rankings(
+    deaths: DataFrame, k: int = 20, single_task_rows: int = SINGLE_TASK_ROWS, spec: PanelSpec = DEFAULT
+) -> DataFrame:
     """At the table's latest date, three rates and five global rankings of
     the entities with positive cases and deaths; keep the entities in the top
     ``k`` by cases or by deaths.
@@ -91,7 +93,9 @@ def entity_rankings(deaths: DataFrame, k: int = 20, spec: PanelSpec = DEFAULT) -
         pct_ratio("total_deaths", "total_cases").alias("_fatality"),
     )
     ranked = add_row_numbers(
-        ranked, [(name, [F.col(metric).desc_nulls_last(), F.col(spec.entity)]) for name, metric in _RANKINGS]
+        ranked,
+        [(name, [F.col(metric).desc_nulls_last(), F.col(spec.entity)]) for name, metric in _RANKINGS],
+        single_task_rows,
     )
     return (
         ranked.where((F.col("rank_by_total_cases") <= k) | (F.col("rank_by_total_deaths") <= k))
@@ -271,5 +275,4 @@ __all__ = [
     "growth_phases",
     "lagged_association",
     "peak_days",
-    "series_window",
 ]
