@@ -58,7 +58,8 @@ JOBS: list[Query] = [
     Query("entity_coverage", _deaths(ex.entity_coverage), J.entity_coverage(), "job"),
     Query("entity_coverage_reported", _deaths(ex.entity_coverage, reported="new_cases"),
           J.entity_coverage("new_cases"), "job"),
-    Query("rolling_outliers", _deaths(ex.rolling_outliers), J.ROLLING_OUTLIERS, "job"),
+    Query("rolling_outliers", _deaths(ex.rolling_outliers), J.rolling_outliers(), "job"),
+    Query("rolling_outliers_by_days", _deaths(ex.rolling_outliers, by_days=True), J.rolling_outliers(True), "job"),
     Query("consistency_check", _deaths(ex.consistency_check), J.CONSISTENCY_CHECK, "job"),
     Query("latest_summary", _deaths(ex.latest_summary), J.LATEST_SUMMARY, "job"),
     Query("global_trend", _deaths(ga.global_trend, start_date=TREND_START), J.global_trend(TREND_START), "job"),
@@ -71,7 +72,9 @@ JOBS: list[Query] = [
     Query("lagged_association_lead_corr", _deaths(ga.lagged_association, direction="lead", with_corr=True),
           J.lagged_association("lead", True), "job"),
     Query("latest_coverage", _vax(vx.latest_coverage), J.LATEST_COVERAGE, "job"),
-    Query("phase_effectiveness", _vax_deaths(vx.phase_effectiveness), J.PHASE_EFFECTIVENESS, "job"),
+    Query("phase_effectiveness", _vax_deaths(vx.phase_effectiveness), J.phase_effectiveness(), "job"),
+    Query("phase_effectiveness_by_days", _vax_deaths(vx.phase_effectiveness, by_days=True),
+          J.phase_effectiveness(True), "job"),
     Query("milestone_timeline", _vax(vx.milestone_timeline), J.MILESTONE_TIMELINE, "job"),
     Query("level_outcomes", _vax_deaths(vx.level_outcomes), J.LEVEL_OUTCOMES, "job"),
     Query("booster_outcomes", _vax_deaths(vx.booster_outcomes), J.BOOSTER_OUTCOMES, "job"),

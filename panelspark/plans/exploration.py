@@ -136,10 +136,12 @@ def rolling_outliers(
     k: int = 20,
     ddof: int = 0,
     side: str = "high",
+    by_days: bool = False,
     spec: PanelSpec = DEFAULT,
 ) -> DataFrame:
     """Rows whose value lies more than two standard deviations from the
-    mean of the seven previous reported rows of the same entity.
+    mean of the seven previous reported rows of the same entity (of the
+    reported rows in the seven previous days with ``by_days``).
 
     Only positive reported values take part (filtered before the windows).
     ``side`` keeps high outliers (default), low ones, or both. The ``k``
@@ -158,8 +160,8 @@ def rolling_outliers(
             spec.entity,
             spec.date,
             value,
-            rolling(value, -7, -1, "avg", spec.entity, spec.date).alias("_avg7"),
-            rolling(value, -7, -1, std, spec.entity, spec.date).alias("_std7"),
+            rolling(value, -7, -1, "avg", spec.entity, spec.date, by_days).alias("_avg7"),
+            rolling(value, -7, -1, std, spec.entity, spec.date, by_days).alias("_std7"),
         )
         .where(keep)
         .select(

@@ -226,6 +226,7 @@ def lagged_association(
     k: int = 20,
     direction: str = "lag",
     with_corr: bool = False,
+    by_days: bool = False,
     spec: PanelSpec = DEFAULT,
 ) -> DataFrame:
     """Per entity, means of daily cases and deaths, of deaths shifted by
@@ -235,7 +236,8 @@ def lagged_association(
     ``direction="lag"`` reproduces the source analysis, whose
     "deaths 14 days later" column is the value 14 rows *earlier*;
     ``direction="lead"`` takes the value 14 rows later. ``with_corr`` adds the
-    Pearson correlation of daily cases with the shifted deaths.
+    Pearson correlation of daily cases with the shifted deaths. ``by_days``
+    makes the 7-row means 7-day means (the shift stays a row offset).
     """
     e, d = spec.entity, spec.date
     nc, nd = F.col("new_cases"), F.col("new_deaths")
@@ -248,8 +250,8 @@ def lagged_association(
             "new_cases",
             "new_deaths",
             shifted("new_deaths", offset, e, d).alias("_shifted"),
-            rolling("new_cases", -6, 0, "avg", e, d).alias("_c7"),
-            rolling("new_deaths", -6, 0, "avg", e, d).alias("_d7"),
+            rolling("new_cases", -6, 0, "avg", e, d, by_days).alias("_c7"),
+            rolling("new_deaths", -6, 0, "avg", e, d, by_days).alias("_d7"),
         )
         .where(F.col("_shifted").isNotNull())
     )

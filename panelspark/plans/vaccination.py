@@ -45,11 +45,12 @@ def phase_effectiveness(
     deaths: DataFrame,
     min_rows: int = 7,
     banding: bands.Banding = bands.VACCINATION_PHASES,
+    by_days: bool = False,
     spec: PanelSpec = DEFAULT,
 ) -> DataFrame:
     """Join the panels, band coverage into phases, smooth cases and deaths
-    with 7-row means; per (entity, phase) with more than ``min_rows`` rows,
-    then per phase.
+    with 7-row means (7-day means with ``by_days``); per (entity, phase) with
+    more than ``min_rows`` rows, then per phase.
 
     Both sides are filtered before the join (the filters reach the scans) and
     hash-partitioned on the entity, so the join and the per-entity window
@@ -68,8 +69,8 @@ def phase_effectiveness(
         "new_cases",
         "new_deaths",
         banding.label(COVERAGE).alias("vaccination_phase"),
-        rolling("new_cases", -6, 0, "avg", e, d).alias("cases_7day_avg"),
-        rolling("new_deaths", -6, 0, "avg", e, d).alias("deaths_7day_avg"),
+        rolling("new_cases", -6, 0, "avg", e, d, by_days).alias("cases_7day_avg"),
+        rolling("new_deaths", -6, 0, "avg", e, d, by_days).alias("deaths_7day_avg"),
     )
     return two_level_profile(
         rows,
@@ -94,12 +95,8 @@ def phase_effectiveness(
     ).orderBy(banding.ordinal("vaccination_phase"))
 
 
-MILESTONE_COLUMNS = (
-    ("10% Milestone", "reached_10_percent"),
-    ("30% Milestone", "reached_30_percent"),
-    ("50% Milestone", "reached_50_percent"),
-    ("70% Milestone", "reached_70_percent"),
-)
+# (milestone label, output column) for each coverage threshold
+MILESTONE_COLUMNS = tuple((label, f"reached_{threshold}_percent") for threshold, label in bands.MILESTONES)
 
 
 def milestone_timeline(
@@ -136,11 +133,12 @@ def level_outcomes(
     deaths: DataFrame,
     min_rows: int = 14,
     banding: bands.Banding = bands.VACCINATION_LEVELS,
+    by_days: bool = False,
     spec: PanelSpec = DEFAULT,
 ) -> DataFrame:
     """Join the panels, band coverage into levels, smooth the death rate
-    per million with a 14-row mean; per (entity, level) with more than
-    ``min_rows`` rows, then per level."""
+    per million with a 14-row mean (14-day mean with ``by_days``); per
+    (entity, level) with more than ``min_rows`` rows, then per level."""
     e, d = spec.entity, spec.date
     cov = F.col(COVERAGE)
     v = grouped_rows(vax, spec).where(cov.isNotNull() & (cov > 0)).select(e, d, COVERAGE)
@@ -153,7 +151,7 @@ def level_outcomes(
         e,
         COVERAGE,
         banding.label(COVERAGE).alias("vaccination_level"),
-        rolling("new_deaths_per_million", -13, 0, "avg", e, d).alias("deaths_14day_avg"),
+        rolling("new_deaths_per_million", -13, 0, "avg", e, d, by_days).alias("deaths_14day_avg"),
     )
     return two_level_profile(
         rows,
