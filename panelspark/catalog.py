@@ -32,22 +32,26 @@ class Query:
     build: Builder
     sql: str | None
     kind: str  # "job", "operator" or "primitive"
+    grain: str = "nation"  # entity grain of the derived panels (see sources.panels)
 
+    def oracle(self) -> str | None:
+        return None if self.sql is None else with_panels(self.sql, self.grain)
 
-def _deaths(fn, **kw) -> Builder:
-    return lambda spark, root: fn(deaths_panel(spark, root), **kw)
 
+def _deaths(fn, grain="nation", **kw) -> Builder:
+    return lambda spark, root: fn(deaths_panel(spark, root, grain), **kw)
 
-def _vax(fn, **kw) -> Builder:
-    return lambda spark, root: fn(vax_panel(spark, root), **kw)
 
+def _vax(fn, grain="nation", **kw) -> Builder:
+    return lambda spark, root: fn(vax_panel(spark, root, grain), **kw)
 
-def _both(fn, **kw) -> Builder:
-    return lambda spark, root: fn(deaths_panel(spark, root), vax_panel(spark, root), **kw)
 
+def _both(fn, grain="nation", **kw) -> Builder:
+    return lambda spark, root: fn(deaths_panel(spark, root, grain), vax_panel(spark, root, grain), **kw)
 
-def _vax_deaths(fn, **kw) -> Builder:
-    return lambda spark, root: fn(vax_panel(spark, root), deaths_panel(spark, root), **kw)
+
+def _vax_deaths(fn, grain="nation", **kw) -> Builder:
+    return lambda spark, root: fn(vax_panel(spark, root, grain), deaths_panel(spark, root, grain), **kw)
 
 
 JOBS: list[Query] = [
@@ -82,6 +86,26 @@ JOBS: list[Query] = [
 ]
 
 
+# The same jobs over supplier-grain panels: one series per supplier, so the
+# panels (and every window, join and ranking on them) grow with the data.
+_S = "supplier"
+JOBS += [
+    Query("rolling_outliers_by_supplier", _deaths(ex.rolling_outliers, _S), J.rolling_outliers(), "job", _S),
+    Query("global_trend_by_supplier", _deaths(ga.global_trend, _S, start_date=TREND_START),
+          J.global_trend(TREND_START), "job", _S),
+    Query("entity_rankings_by_supplier", _deaths(ga.entity_rankings, _S), J.ENTITY_RANKINGS, "job", _S),
+    Query("peak_days_by_supplier", _deaths(ga.peak_days, _S), J.PEAK_DAYS, "job", _S),
+    Query("lagged_association_by_supplier", _deaths(ga.lagged_association, _S), J.lagged_association(), "job", _S),
+    Query("latest_coverage_by_supplier", _vax(vx.latest_coverage, _S), J.LATEST_COVERAGE, "job", _S),
+    Query("phase_effectiveness_by_supplier", _vax_deaths(vx.phase_effectiveness, _S), J.phase_effectiveness(),
+          "job", _S),
+    Query("milestone_timeline_by_supplier", _vax(vx.milestone_timeline, _S), J.MILESTONE_TIMELINE, "job", _S),
+    Query("level_outcomes_by_supplier", _vax_deaths(vx.level_outcomes, _S), J.LEVEL_OUTCOMES, "job", _S),
+    Query("booster_outcomes_by_supplier", _vax_deaths(vx.booster_outcomes, _S), J.BOOSTER_OUTCOMES, "job", _S),
+    Query("inequality_by_supplier", _vax(vx.inequality, _S), J.INEQUALITY, "job", _S),
+]
+
+
 def all_queries() -> list[Query]:
     from panelspark.plans import primitives
 
@@ -93,4 +117,4 @@ def builders() -> dict[str, Builder]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {q.name: with_panels(q.sql) for q in all_queries() if q.sql is not None}
+    return {q.name: q.oracle() for q in all_queries() if q.sql is not None}

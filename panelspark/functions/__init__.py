@@ -9,7 +9,7 @@ from panelspark.functions.bands import (
     VACCINATION_PHASES,
     Banding,
 )
-from panelspark.functions.ratios import growth_pct, pct_ratio
+from panelspark.functions.ratios import growth_pct, mean_of_rounded, pct_ratio
 
 __all__ = [
     "BOOSTER_LEVELS",
@@ -20,5 +20,6 @@ __all__ = [
     "VACCINATION_PHASES",
     "Banding",
     "growth_pct",
+    "mean_of_rounded",
     "pct_ratio",
 ]

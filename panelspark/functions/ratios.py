@@ -27,3 +27,18 @@ def growth_pct(current, previous, places: int | None = 2) -> Column:
     prev = _col(previous)
     change = pct_ratio(_col(current) - prev, prev, places)
     return F.when(prev > 0, change)
+
+
+def mean_of_rounded(col, places: int) -> Column:
+    """``ROUND(AVG(col), places)`` for a column that already holds values with at
+    most ``places`` decimals (counts, or an earlier ROUND to ``places``).
+
+    Averages of such values hit exact ties (34.4 and 34.5 average to 34.45) far
+    more often than chance, and the binary double nearest a tie lies on either
+    side of it depending on the order of the additions. The mean is therefore
+    taken in integer units of ``10**-places``: the sum is exact, a real tie is
+    exactly representable, and it is rounded half away from zero, which is the
+    decimal result of the original ``ROUND(AVG(..))``.
+    """
+    unit = 10 ** places
+    return F.round(F.avg(F.round(_col(col) * F.lit(unit), 0)), 0) / F.lit(unit)

@@ -6,10 +6,39 @@ HUGEINT) and divisions use NULLIF (DuckDB returns inf/NaN, Spark ANSI would
 raise) so types and values line up with the Spark side.
 """
 
-PANEL_CTES = """
-ps_ent AS (
+_ENTITIES = {
+    "nation": """
     SELECT n.n_nationkey AS k, n.n_name AS location, r.r_name AS continent
-    FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey
+    FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey""",
+    "supplier": """
+    SELECT s.s_suppkey AS k, s.s_name AS location, n.n_name AS continent
+    FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey""",
+}
+
+_CASES_DAILY = {
+    "nation": """
+    SELECT c.c_nationkey AS k, o.day AS date,
+           CAST(SUM(CAST(floor(o.o_totalprice / 100) AS BIGINT)) AS BIGINT) AS new_cases,
+           CAST(SUM(CASE WHEN o.o_orderstatus = 'F' THEN CAST(floor(o.o_totalprice / 1000) AS BIGINT) ELSE 0 END)
+                AS BIGINT) AS new_deaths
+    FROM ps_orders o JOIN customer c ON o.o_custkey = c.c_custkey
+    GROUP BY c.c_nationkey, o.day""",
+    "supplier": """
+    SELECT l.l_suppkey AS k, CAST(l.l_shipdate AS DATE) AS date,
+           CAST(SUM(CAST(floor(l.l_extendedprice / 100) AS BIGINT)) AS BIGINT) AS new_cases,
+           CAST(SUM(CASE WHEN l.l_linestatus = 'F' THEN CAST(floor(l.l_extendedprice / 1000) AS BIGINT) ELSE 0 END)
+                AS BIGINT) AS new_deaths
+    FROM lineitem l
+    GROUP BY l.l_suppkey, CAST(l.l_shipdate AS DATE)""",
+}
+
+_VAX_SOURCE = {
+    "nation": ("s.s_nationkey", "lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey"),
+    "supplier": ("l.l_suppkey", "lineitem l"),
+}
+
+_PANEL_CTES = """
+ps_ent AS ({entities}
 ),
 ps_orders AS (
     SELECT o_custkey, o_totalprice, o_orderstatus, CAST(o_orderdate AS DATE) AS day FROM orders
@@ -24,17 +53,11 @@ ps_grid AS (
         FROM ps_ent e
     ) g
 ),
-ps_cases_daily AS (
-    SELECT c.c_nationkey AS k, o.day AS date,
-           CAST(SUM(CAST(floor(o.o_totalprice / 100) AS BIGINT)) AS BIGINT) AS new_cases,
-           CAST(SUM(CASE WHEN o.o_orderstatus = 'F' THEN CAST(floor(o.o_totalprice / 1000) AS BIGINT) ELSE 0 END)
-                AS BIGINT) AS new_deaths
-    FROM ps_orders o JOIN customer c ON o.o_custkey = c.c_custkey
-    GROUP BY c.c_nationkey, o.day
+ps_cases_daily AS ({cases_daily}
 ),
 ps_cases_nation AS (
     SELECT g.continent, g.location, g.date,
-           CAST(1000000 * (g.k + 1) + CASE WHEN g.k % 5 = 0 THEN 1000 * (year(g.date) - 1995) ELSE 0 END
+           CAST(1000000 * (g.k % 25 + 1) + CASE WHEN g.k % 25 % 5 = 0 THEN 1000 * (year(g.date) - 1995) ELSE 0 END
                 AS BIGINT) AS population,
            CAST(SUM(d.new_cases) OVER run AS BIGINT) AS total_cases,
            d.new_cases,
@@ -59,15 +82,15 @@ deaths_panel AS (
     FROM ps_cases_all
 ),
 ps_vax_daily AS (
-    SELECT s.s_nationkey AS k, CAST(l.l_shipdate AS DATE) AS date,
+    SELECT {vax_key} AS k, CAST(l.l_shipdate AS DATE) AS date,
            CAST(SUM(CAST(floor(l.l_quantity) AS BIGINT)) AS BIGINT) AS q,
            CAST(SUM(CASE WHEN l.l_returnflag = 'N' THEN CAST(floor(l.l_quantity) AS BIGINT) ELSE 0 END) AS BIGINT) AS f,
            CAST(SUM(CASE WHEN l.l_returnflag = 'R' THEN CAST(floor(l.l_quantity) AS BIGINT) ELSE 0 END) AS BIGINT) AS b
-    FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey
-    GROUP BY s.s_nationkey, CAST(l.l_shipdate AS DATE)
+    FROM {vax_from}
+    GROUP BY {vax_key}, CAST(l.l_shipdate AS DATE)
 ),
 ps_vax_run AS (
-    SELECT g.k, g.continent, g.location, g.date, d.q,
+    SELECT g.k % 25 AS k, g.continent, g.location, g.date, d.q,
            CAST(SUM(d.q) OVER run AS BIGINT) AS rq,
            CAST(SUM(d.f) OVER run AS BIGINT) AS rf,
            CAST(SUM(d.b) OVER run AS BIGINT) AS rb,
@@ -94,13 +117,24 @@ vax_panel AS (
 """
 
 
-def with_panels(sql: str) -> str:
-    """Prefix an oracle query with the panel CTEs.
+def panel_ctes(grain: str = "nation") -> str:
+    vax_key, vax_from = _VAX_SOURCE[grain]
+    return _PANEL_CTES.format(
+        entities=_ENTITIES[grain], cases_daily=_CASES_DAILY[grain], vax_key=vax_key, vax_from=vax_from
+    )
+
+
+PANEL_CTES = panel_ctes("nation")
+
+
+def with_panels(sql: str, grain: str = "nation") -> str:
+    """Prefix an oracle query with the panel CTEs of ``grain``.
 
     ``sql`` is either a plain SELECT or a ``WITH ...`` query; in the latter
     case its CTEs are appended after the panel CTEs.
     """
+    ctes = panel_ctes(grain).strip()
     body = sql.strip()
     if body[:5].upper() == "WITH ":
-        return "WITH " + PANEL_CTES.strip() + ",\n" + body[5:]
-    return "WITH " + PANEL_CTES.strip() + "\n" + body
+        return "WITH " + ctes + ",\n" + body[5:]
+    return "WITH " + ctes + "\n" + body

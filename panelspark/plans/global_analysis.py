@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelspark.functions import bands
-from panelspark.functions.ratios import growth_pct, pct_ratio
+from panelspark.functions.ratios import growth_pct, mean_of_rounded, pct_ratio
 from panelspark.operators.latest import latest_global
 from panelspark.operators.ranking import SINGLE_TASK_ROWS, add_row_numbers, top_k
 from panelspark.operators.rolling import rolling, shifted
@@ -211,9 +211,9 @@ def growth_phases(
         spans.groupBy("growth_phase")
         .agg(
             F.count_distinct(spec.entity).alias("countries_count"),
-            F.round(F.avg("days_in_phase"), 1).alias("avg_days_in_phase"),
-            F.round(F.avg("max_cases_in_phase"), 0).alias("avg_max_cases"),
-            F.round(F.avg("max_deaths_in_phase"), 0).alias("avg_max_deaths"),
+            mean_of_rounded("days_in_phase", 1).alias("avg_days_in_phase"),
+            mean_of_rounded("max_cases_in_phase", 0).alias("avg_max_cases"),
+            mean_of_rounded("max_deaths_in_phase", 0).alias("avg_max_deaths"),
         )
         .orderBy(banding.ordinal("growth_phase"))
     )

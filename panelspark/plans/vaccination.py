@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelspark.functions import bands
-from panelspark.functions.ratios import pct_ratio
+from panelspark.functions.ratios import mean_of_rounded, pct_ratio
 from panelspark.operators.joins import panel_join
 from panelspark.operators.latest import latest_per_entity, rows_at_entity_latest
 from panelspark.operators.milestones import crossings, pivot_dates
@@ -84,9 +84,9 @@ def phase_effectiveness(
         ],
         stage2=[
             F.count_distinct(e).alias("countries_count"),
-            F.round(F.avg("avg_daily_cases"), 0).alias("avg_daily_cases"),
-            F.round(F.avg("avg_daily_deaths"), 0).alias("avg_daily_deaths"),
-            F.round(F.avg("avg_vaccination_rate"), 1).alias("avg_vaccination_rate"),
+            mean_of_rounded("avg_daily_cases", 0).alias("avg_daily_cases"),
+            mean_of_rounded("avg_daily_deaths", 0).alias("avg_daily_deaths"),
+            mean_of_rounded("avg_vaccination_rate", 1).alias("avg_vaccination_rate"),
             F.sum("total_cases_in_phase").alias("total_cases"),
             F.sum("total_deaths_in_phase").alias("total_deaths"),
         ],
@@ -165,11 +165,11 @@ def level_outcomes(
         ],
         stage2=[
             F.count_distinct(e).alias("countries_count"),
-            F.round(F.avg("avg_vaccination_rate"), 1).alias("avg_vaccination_rate"),
-            F.round(F.avg("avg_death_rate"), 1).alias("avg_death_rate"),
-            F.round(F.avg("max_vaccination_rate"), 1).alias("avg_max_vaccination"),
-            F.round(F.avg("min_death_rate"), 1).alias("avg_min_death_rate"),
-            F.round(F.avg("max_death_rate"), 1).alias("avg_max_death_rate"),
+            mean_of_rounded("avg_vaccination_rate", 1).alias("avg_vaccination_rate"),
+            mean_of_rounded("avg_death_rate", 1).alias("avg_death_rate"),
+            mean_of_rounded("max_vaccination_rate", 1).alias("avg_max_vaccination"),
+            mean_of_rounded("min_death_rate", 1).alias("avg_min_death_rate"),
+            mean_of_rounded("max_death_rate", 1).alias("avg_max_death_rate"),
         ],
         min_rows=min_rows,
         entity_keys=(e,),
@@ -217,10 +217,10 @@ def booster_outcomes(
         ],
         stage2=[
             F.count_distinct(e).alias("countries_count"),
-            F.round(F.avg("avg_booster_rate"), 1).alias("avg_booster_rate"),
-            F.round(F.avg("avg_booster_uptake"), 1).alias("avg_booster_uptake"),
-            F.round(F.avg("avg_daily_cases"), 0).alias("avg_daily_cases"),
-            F.round(F.avg("avg_daily_deaths"), 0).alias("avg_daily_deaths"),
+            mean_of_rounded("avg_booster_rate", 1).alias("avg_booster_rate"),
+            mean_of_rounded("avg_booster_uptake", 1).alias("avg_booster_uptake"),
+            mean_of_rounded("avg_daily_cases", 0).alias("avg_daily_cases"),
+            mean_of_rounded("avg_daily_deaths", 0).alias("avg_daily_deaths"),
         ],
         min_rows=min_rows,
         entity_keys=(e, spec.group),

@@ -1,11 +1,20 @@
 """Derive the two entity-day panels from the TPC-H style base tables.
 
-The analysis jobs read two daily panels keyed by (location, date):
-
-* the *outcomes* panel (cases and deaths), derived from ``orders`` joined to
-  ``customer``; the entity is the customer's nation;
-* the *coverage* panel (vaccinations), derived from ``lineitem`` joined to
-  ``supplier``; the entity is the supplier's nation.
+The analysis jobs read two daily panels keyed by (location, date). Two grains
+are offered:
+
+``grain="nation"`` (default; entity = nation, group = region)
+    * the *outcomes* panel (cases and deaths) from ``orders`` joined to
+      ``customer``, per customer nation;
+    * the *coverage* panel (vaccinations) from ``lineitem`` joined to
+      ``supplier``, per supplier nation.
+    25 entities whatever the scale factor.
+
+``grain="supplier"`` (entity = supplier, group = its nation)
+    * outcomes from ``lineitem`` per supplier: extended price for cases,
+      lines with status 'F' for deaths;
+    * coverage from ``lineitem`` per supplier, as above.
+    The number of entities grows with the scale factor (1,000 at sf0.1).
 
 Each panel is dense: every entity has one row per calendar day from the first
 to the last order date, and days without activity hold NULL measurements.
@@ -51,7 +60,7 @@ VAX_COLUMNS = (
 
 
 def _per_session(build):
-    """Reuse one lazy panel DataFrame per (session, root).
+    """Reuse one lazy panel DataFrame per (session, root, grain).
 
     Only the logical plan is shared: every action still derives the panel from
     the base tables (nothing is cached or persisted). Constructing the plan
@@ -61,35 +70,56 @@ def _per_session(build):
     plans: dict = {}
 
     @functools.wraps(build)
-    def wrapper(spark: SparkSession, root: str) -> DataFrame:
-        key = (id(spark), root)
+    def wrapper(spark: SparkSession, root: str, grain: str = "nation") -> DataFrame:
+        key = (id(spark), root, grain)
         hit = plans.get(key)
         if hit is None or hit[0] is not spark:
-            hit = plans[key] = (spark, build(spark, root))
+            hit = plans[key] = (spark, build(spark, root, grain))
         return hit[1]
 
     return wrapper
 
 
-def entities(spark: SparkSession, root: str) -> DataFrame:
-    """One row per nation: key ``k``, ``location`` (nation name), ``continent`` (region name)."""
-    nation = read_table(spark, root, "nation").select("n_nationkey", "n_name", "n_regionkey")
-    region = read_table(spark, root, "region").select("r_regionkey", "r_name")
-    return nation.join(region, nation.n_regionkey == region.r_regionkey).select(
-        F.col("n_nationkey").alias("k"),
-        F.col("n_name").alias("location"),
-        F.col("r_name").alias("continent"),
+GRAINS = ("nation", "supplier")
+
+
+def entities(spark: SparkSession, root: str, grain: str = "nation") -> DataFrame:
+    """One row per entity: key ``k``, ``location`` (entity name), ``continent`` (group name)."""
+    if grain not in GRAINS:
+        raise ValueError(f"unknown grain {grain!r}; expected one of {GRAINS}")
+    if grain == "nation":
+        nation = read_table(spark, root, "nation").select("n_nationkey", "n_name", "n_regionkey")
+        region = read_table(spark, root, "region").select("r_regionkey", "r_name")
+        return nation.join(region, nation.n_regionkey == region.r_regionkey).select(
+            F.col("n_nationkey").alias("k"),
+            F.col("n_name").alias("location"),
+            F.col("r_name").alias("continent"),
+        )
+    supplier = read_table(spark, root, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    nation = read_table(spark, root, "nation").select("n_nationkey", "n_name")
+    return supplier.join(nation, supplier.s_nationkey == nation.n_nationkey).select(
+        F.col("s_suppkey").alias("k"),
+        F.col("s_name").alias("location"),
+        F.col("n_name").alias("continent"),
     )
 
 
+def _profile_key(k: Column) -> Column:
+    """The attribute formulas (population, scale, index) use the key modulo 25,
+    which is the nation key itself at nation grain."""
+    return k % 25
+
+
 def _order_days(spark: SparkSession, root: str) -> DataFrame:
     return read_table(spark, root, "orders").select(
         "o_custkey", "o_totalprice", "o_orderstatus", F.to_date("o_orderdate").alias("day"),
     )
 
 
-def _densify(spark: SparkSession, root: str, facts: DataFrame, measures: tuple[str, ...]) -> DataFrame:
-    """Daily sums of ``measures`` per nation ``k``, one row per nation and
+def _densify(
+    spark: SparkSession, root: str, grain: str, facts: DataFrame, measures: tuple[str, ...]
+) -> DataFrame:
+    """Daily sums of ``measures`` per entity ``k``, one row per entity and
     calendar day (first to last order date), NULL on days without facts.
 
     The calendar rows (generated per nation with ``sequence`` + ``explode``
@@ -97,12 +127,12 @@ def _densify(spark: SparkSession, root: str, facts: DataFrame, measures: tuple[s
     with the fact rows and summed in the same grouped aggregate: the partial
     aggregation still runs map-side before the single shuffle on (k, date), and
     no join between the calendar and the facts is needed. Facts outside the
-    calendar or of unknown nations are dropped.
+    calendar or of unknown entities are dropped.
     """
     days = _order_days(spark, root)
     first = days.select(F.min("day")).scalar()
     last = days.select(F.max("day")).scalar()
-    ent = entities(spark, root)
+    ent = entities(spark, root, grain)
     grid = ent.select("k", F.explode(F.sequence(first, last)).alias("date"))
     rows = facts.where(F.col("date").between(first, last)).unionByName(grid, allowMissingColumns=True)
     daily = rows.groupBy("k", "date").agg(*[F.sum(m).alias(m) for m in measures])
@@ -118,25 +148,37 @@ def _per_million(col: str) -> Column:
     return F.try_divide(F.col(col).cast("double") * F.lit(1000000), F.col("population"))
 
 
-@_per_session
-def deaths_panel(spark: SparkSession, root: str) -> DataFrame:
-    """The outcomes panel (see ``DEATHS_COLUMNS``)."""
-    orders = _order_days(spark, root)
-    customer = read_table(spark, root, "customer").select("c_custkey", "c_nationkey")
-    price = F.col("o_totalprice")
-    facts = orders.join(customer, orders.o_custkey == customer.c_custkey).select(
-        F.col("c_nationkey").alias("k"),
-        F.col("day").alias("date"),
+def _outcome_facts(spark: SparkSession, root: str, grain: str) -> DataFrame:
+    if grain == "nation":
+        orders = _order_days(spark, root)
+        customer = read_table(spark, root, "customer").select("c_custkey", "c_nationkey")
+        price, status, day = F.col("o_totalprice"), F.col("o_orderstatus"), F.col("day")
+        rows = orders.join(customer, orders.o_custkey == customer.c_custkey)
+        key = F.col("c_nationkey")
+    else:
+        rows = read_table(spark, root, "lineitem").select(
+            "l_suppkey", "l_extendedprice", "l_linestatus", F.to_date("l_shipdate").alias("day"),
+        )
+        price, status, day, key = F.col("l_extendedprice"), F.col("l_linestatus"), F.col("day"), F.col("l_suppkey")
+    return rows.select(
+        key.alias("k"),
+        day.alias("date"),
         F.floor(price / 100).alias("new_cases"),
-        F.when(F.col("o_orderstatus") == "F", F.floor(price / 1000)).otherwise(F.lit(0)).alias("new_deaths"),
+        F.when(status == "F", F.floor(price / 1000)).otherwise(F.lit(0)).alias("new_deaths"),
     )
-    k = F.col("k")
+
+
+@_per_session
+def deaths_panel(spark: SparkSession, root: str, grain: str = "nation") -> DataFrame:
+    """The outcomes panel (see ``DEATHS_COLUMNS``)."""
+    facts = _outcome_facts(spark, root, grain)
+    k = _profile_key(F.col("k"))
     population = (
         F.lit(1000000) * (k + 1)
         + F.when(k % 5 == 0, F.lit(1000) * (F.year("date") - 1995)).otherwise(F.lit(0))
     ).cast("long")
     nations = (
-        _densify(spark, root, facts, ("new_cases", "new_deaths"))
+        _densify(spark, root, grain, facts, ("new_cases", "new_deaths"))
         .select(
             "continent", "location", "date",
             population.alias("population"),
@@ -161,28 +203,32 @@ def deaths_panel(spark: SparkSession, root: str) -> DataFrame:
 
 
 @_per_session
-def vax_panel(spark: SparkSession, root: str) -> DataFrame:
+def vax_panel(spark: SparkSession, root: str, grain: str = "nation") -> DataFrame:
     """The coverage panel (see ``VAX_COLUMNS``)."""
     lineitem = read_table(spark, root, "lineitem").select(
         "l_suppkey", "l_quantity", "l_returnflag", F.to_date("l_shipdate").alias("day"),
     )
-    supplier = read_table(spark, root, "supplier").select("s_suppkey", "s_nationkey")
+    if grain == "nation":
+        supplier = read_table(spark, root, "supplier").select("s_suppkey", "s_nationkey")
+        lines, key = lineitem.join(supplier, lineitem.l_suppkey == supplier.s_suppkey), F.col("s_nationkey")
+    else:
+        lines, key = lineitem, F.col("l_suppkey")
     qty = F.floor(F.col("l_quantity"))
     flag = F.col("l_returnflag")
-    facts = lineitem.join(supplier, lineitem.l_suppkey == supplier.s_suppkey).select(
-        F.col("s_nationkey").alias("k"),
+    facts = lines.select(
+        key.alias("k"),
         F.col("day").alias("date"),
         qty.alias("q"),
         F.when(flag == "N", qty).otherwise(F.lit(0)).alias("f"),
         F.when(flag == "R", qty).otherwise(F.lit(0)).alias("b"),
     )
     whole = Window.partitionBy("location")
-    k = F.col("k")
+    k = _profile_key(F.col("k"))
     reported = F.col("q").isNotNull()
     rf, rb, tf = F.col("rf"), F.col("rb"), F.col("tf")
     scale = F.lit(40) + F.lit(2) * k
     return (
-        _densify(spark, root, facts, ("q", "f", "b"))
+        _densify(spark, root, grain, facts, ("q", "f", "b"))
         .select(
             "k", "continent", "location", "date", "q",
             _running("q").alias("rq"),

@@ -23,7 +23,7 @@ def test_every_query_has_an_oracle():
 
 @pytest.mark.parametrize("query", QUERIES, ids=[q.name for q in QUERIES])
 def test_query_matches_oracle(spark, duck_oracle, query):
-    result = compare(query.name, query.build(spark, SF_ORACLE), duck_oracle, with_panels(query.sql))
+    result = compare(query.name, query.build(spark, SF_ORACLE), duck_oracle, query.oracle())
     assert result.ok, result.problems
 
 

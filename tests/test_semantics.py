@@ -214,3 +214,12 @@ def test_lag_vs_lead_direction(spark):
     # lag keeps rows 15..40 and reads deaths 1..26; lead keeps rows 1..26 and reads 15..40
     assert lag.avg_deaths_14_days_later == round(sum(range(1, 27)) / 26)
     assert lead.avg_deaths_14_days_later == round(sum(range(15, 41)) / 26)
+
+
+def test_mean_of_rounded_resolves_exact_ties_half_up(spark):
+    from panelspark.functions.ratios import mean_of_rounded
+
+    df = spark.createDataFrame([(34.4,), (34.5,)], "x double")
+    assert df.agg(mean_of_rounded("x", 1).alias("m")).first().m == 34.5
+    days = spark.createDataFrame([(d,) for d in [123] * 11 + [124] * 9], "d long")  # mean 123.45
+    assert days.agg(mean_of_rounded("d", 1).alias("m")).first().m == 123.5
