@@ -17,9 +17,18 @@ def _col(c) -> Column:
 
 
 def pct_ratio(num, den, places: int | None = None) -> Column:
-    """``num * 100.0 / den``; NULL when ``den`` is 0 or NULL; optionally rounded."""
-    value = F.try_divide(_col(num) * F.lit(100.0), _col(den))
-    return F.round(value, places) if places is not None else value
+    """``num * 100.0 / den``; NULL when ``den`` is 0 or NULL; optionally rounded.
+
+    Rounded to ``places`` as ``round(num * 10**(places + 2) / den) / 10**places``:
+    for whole-number inputs this is the exact decimal result rounded half away
+    from zero. A percentage such as 24450 * 100 / 1000000 = 2.445 sits exactly
+    on a tie; rounding the binary quotient instead would go to whichever side
+    of 2.445 the nearest double happens to lie.
+    """
+    if places is None:
+        return F.try_divide(_col(num) * F.lit(100.0), _col(den))
+    scaled = F.try_divide(_col(num) * F.lit(float(10 ** (places + 2))), _col(den))
+    return F.round(scaled, 0) / F.lit(10 ** places)
 
 
 def growth_pct(current, previous, places: int | None = 2) -> Column:

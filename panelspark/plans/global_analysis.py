@@ -105,9 +105,9 @@ def entity_rankings(
             "population",
             "total_cases",
             "total_deaths",
-            F.round("_infection", 2).alias("infection_rate_percent"),
-            F.round("_death", 2).alias("death_rate_percent"),
-            F.round("_fatality", 2).alias("case_fatality_rate_percent"),
+            pct_ratio("total_cases", "population", 2).alias("infection_rate_percent"),
+            pct_ratio("total_deaths", "population", 2).alias("death_rate_percent"),
+            pct_ratio("total_deaths", "total_cases", 2).alias("case_fatality_rate_percent"),
             *[name for name, _ in _RANKINGS],
         )
         .orderBy("rank_by_total_cases")

@@ -19,7 +19,7 @@ from panelspark.operators.milestones import crossings, pivot_dates
 from panelspark.operators.profile import two_level_profile
 from panelspark.operators.ranking import global_row_number
 from panelspark.operators.rolling import rolling, shifted
-from panelspark.oracle.jobs_sql import LATEST, NN, pct
+from panelspark.oracle.jobs_sql import LATEST, NN, pct, pct_round
 from panelspark.plans.exploration import grouped_rows
 from panelspark.plans.vaccination import COVERAGE, MILESTONE_COLUMNS
 from panelspark.sources.panels import deaths_panel, vax_panel
@@ -122,7 +122,7 @@ SELECT location, date, total_cases,
        LAG(new_deaths, 14) OVER s AS new_deaths_lag_14,
        LEAD(new_deaths, 14) OVER s AS new_deaths_lead_14,
        CASE WHEN LAG(total_cases, 1) OVER s > 0
-            THEN ROUND({pct('total_cases - LAG(total_cases, 1) OVER s', 'LAG(total_cases, 1) OVER s')}, 2)
+            THEN {pct_round('total_cases - LAG(total_cases, 1) OVER s', 'LAG(total_cases, 1) OVER s', 2)}
        END AS growth_percent
 FROM deaths_panel
 WHERE {NN} AND total_cases IS NOT NULL
@@ -152,8 +152,8 @@ def _ratios_and_bands(spark: SparkSession, root: str) -> DataFrame:
 
 RATIOS_AND_BANDS_SQL = f"""
 SELECT location, date,
-       ROUND({pct('people_fully_vaccinated', 'population')}, 2) AS fully_vaccinated_rate,
-       ROUND({pct('total_boosters', 'people_fully_vaccinated')}, 2) AS booster_uptake_rate,
+       {pct_round('people_fully_vaccinated', 'population', 2)} AS fully_vaccinated_rate,
+       {pct_round('total_boosters', 'people_fully_vaccinated', 2)} AS booster_uptake_rate,
        {bands.VACCINATION_PHASES.label_sql(COVERAGE)} AS vaccination_phase,
        {bands.VACCINATION_PHASES.ordinal_sql(bands.VACCINATION_PHASES.label_sql(COVERAGE))} AS phase_order,
        {bands.VACCINATION_LEVELS.label_sql(COVERAGE)} AS vaccination_level,

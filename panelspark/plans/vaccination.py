@@ -257,7 +257,7 @@ def inequality(
             F.round(F.max(COVERAGE), 1).alias("max_vaccination_rate"),
             F.round(std(COVERAGE), 1).alias("vaccination_std_dev"),
             F.round(F.avg("gdp_per_capita"), 0).alias("avg_gdp_per_capita"),
-            F.round(F.avg(hdi), 3).alias("avg_hdi"),
+            mean_of_rounded(hdi, 3).alias("avg_hdi"),
         )
         .orderBy(F.col(spec.group), banding.ordinal("development_level"))
     )
