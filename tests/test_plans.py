@@ -40,10 +40,12 @@ def test_scans_are_pruned_and_filtered(spark):
 
 
 @pytest.mark.parametrize("query", catalog.JOBS, ids=[q.name for q in catalog.JOBS])
-def test_no_python_udf_in_any_job(spark, query):
+def test_no_python_udf_or_cross_join_in_any_job(spark, query):
     text = plan_text(query.build(spark, SF_SMALL))
     for node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF"):
         assert node not in text
+    for node in ("CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert node not in text
 
 
 def test_panel_join_then_window_shuffles_once_per_side(spark):
