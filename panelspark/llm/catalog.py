@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelspark.llm import sql
+from panelspark.llm.chunked_bpe import decode_documents, encode_documents
 from panelspark.llm.common import documents
 from panelspark.llm.line_dedup import dedup_lines
 from panelspark.llm.source_mixing import mix_sources
+from panelspark.llm.token_files import digest_token_files, new_folder, write_token_files
 
 Builder = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +29,18 @@ def op1_line_dedup(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def op6_chunked_bpe(spark: SparkSession, root: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    encoded = encode_documents(documents(spark, root), ranks, public_tokenizers.PATTERN, keep=["doc_id"])
+    back = decode_documents(encoded, ranks, public_tokenizers.PATTERN)
+    return back.select(
+        "doc.doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op9_source_mixing(spark: SparkSession, root: str) -> DataFrame:
     mixed = mix_sources(documents(spark, root), keep=["doc_id"])
     return mixed.select(
@@ -33,9 +48,17 @@ def op9_source_mixing(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def op10_token_files(spark: SparkSession, root: str) -> DataFrame:
+    path = new_folder(spark, "token-files")
+    write_token_files(documents(spark, root), public_tokenizers.path("byte_bpe_50k.json"), path, end_id=0)
+    return digest_token_files(spark, path)
+
+
 QUERIES: dict[str, Builder] = {
     "op1_line_dedup": op1_line_dedup,
+    "op6_chunked_bpe": op6_chunked_bpe,
     "op9_source_mixing": op9_source_mixing,
+    "op10_token_files": op10_token_files,
 }
 
 SQL: dict[str, str] = {
