@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from panelspark.llm import sql
 from panelspark.llm.chunked_bpe import decode_documents, encode_documents
 from panelspark.llm.common import documents
+from panelspark.llm.language_id import identify, in_training, train
 from panelspark.llm.line_dedup import dedup_lines
 from panelspark.llm.source_mixing import mix_sources
 from panelspark.llm.token_files import digest_token_files, new_folder, write_token_files
@@ -29,6 +30,13 @@ def op1_line_dedup(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def op4_language_id(spark: SparkSession, root: str) -> DataFrame:
+    docs = documents(spark, root)
+    trees = train(docs, in_training())
+    found = identify(docs.withColumn("held_out", ~in_training()), trees, keep=["doc_id", "held_out"])
+    return found.select("doc.doc_id", "doc.held_out", "lang_pred", "score")
+
+
 def op6_chunked_bpe(spark: SparkSession, root: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     encoded = encode_documents(documents(spark, root), ranks, public_tokenizers.PATTERN, keep=["doc_id"])
@@ -56,6 +64,7 @@ def op10_token_files(spark: SparkSession, root: str) -> DataFrame:
 
 QUERIES: dict[str, Builder] = {
     "op1_line_dedup": op1_line_dedup,
+    "op4_language_id": op4_language_id,
     "op6_chunked_bpe": op6_chunked_bpe,
     "op9_source_mixing": op9_source_mixing,
     "op10_token_files": op10_token_files,
