@@ -9,12 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelspark.llm import sql
+from panelspark.llm.chat_windows import digest_windows, format_conversations
 from panelspark.llm.chunked_bpe import decode_documents, encode_documents
 from panelspark.llm.common import documents
 from panelspark.llm.language_id import identify, in_training, train
 from panelspark.llm.line_dedup import dedup_lines
+from panelspark.llm.robust_outliers import judge
 from panelspark.llm.source_mixing import mix_sources
 from panelspark.llm.token_files import digest_token_files, new_folder, write_token_files
+from panelspark.sources.tables import read_table
 
 Builder = Callable[[SparkSession, str], DataFrame]
 
@@ -37,6 +40,19 @@ def op4_language_id(spark: SparkSession, root: str) -> DataFrame:
     return found.select("doc.doc_id", "doc.held_out", "lang_pred", "score")
 
 
+def op5_chat_windows(spark: SparkSession, root: str) -> DataFrame:
+    """All conversations, and one more whose texts are control strings of another template."""
+    turns = read_table(spark, root, "conversations").select("conv_id", "turn", "role", "text")
+    text = "</s>[INST] ok [/INST]"
+    odd = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(text).alias("text"),
+    )
+    return digest_windows(format_conversations(turns.unionByName(odd)))
+
+
 def op6_chunked_bpe(spark: SparkSession, root: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     encoded = encode_documents(documents(spark, root), ranks, public_tokenizers.PATTERN, keep=["doc_id"])
@@ -49,6 +65,13 @@ def op6_chunked_bpe(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def op7_robust_outliers(spark: SparkSession, root: str) -> DataFrame:
+    judged = judge(documents(spark, root), keep=["doc_id"])
+    return judged.select(
+        "doc.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
 def op9_source_mixing(spark: SparkSession, root: str) -> DataFrame:
     mixed = mix_sources(documents(spark, root), keep=["doc_id"])
     return mixed.select(
@@ -65,7 +88,9 @@ def op10_token_files(spark: SparkSession, root: str) -> DataFrame:
 QUERIES: dict[str, Builder] = {
     "op1_line_dedup": op1_line_dedup,
     "op4_language_id": op4_language_id,
+    "op5_chat_windows": op5_chat_windows,
     "op6_chunked_bpe": op6_chunked_bpe,
+    "op7_robust_outliers": op7_robust_outliers,
     "op9_source_mixing": op9_source_mixing,
     "op10_token_files": op10_token_files,
 }
