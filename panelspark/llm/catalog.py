@@ -14,6 +14,7 @@ from panelspark.llm.chunked_bpe import decode_documents, encode_documents
 from panelspark.llm.common import documents
 from panelspark.llm.language_id import identify, in_training, train
 from panelspark.llm.line_dedup import dedup_lines
+from panelspark.llm.ngram_join import jaccard_components
 from panelspark.llm.robust_outliers import judge
 from panelspark.llm.source_mixing import mix_sources
 from panelspark.llm.token_files import digest_token_files, new_folder, write_token_files
@@ -72,6 +73,10 @@ def op7_robust_outliers(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def op8_ngram_join(spark: SparkSession, root: str) -> DataFrame:
+    return jaccard_components(documents(spark, root), keep=["doc_id"]).select("doc.doc_id", "n_shingles", "component_id")
+
+
 def op9_source_mixing(spark: SparkSession, root: str) -> DataFrame:
     mixed = mix_sources(documents(spark, root), keep=["doc_id"])
     return mixed.select(
@@ -91,6 +96,7 @@ QUERIES: dict[str, Builder] = {
     "op5_chat_windows": op5_chat_windows,
     "op6_chunked_bpe": op6_chunked_bpe,
     "op7_robust_outliers": op7_robust_outliers,
+    "op8_ngram_join": op8_ngram_join,
     "op9_source_mixing": op9_source_mixing,
     "op10_token_files": op10_token_files,
 }
