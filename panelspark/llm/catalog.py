@@ -17,6 +17,7 @@ from panelspark.llm.line_dedup import dedup_lines
 from panelspark.llm.ngram_join import jaccard_components
 from panelspark.llm.robust_outliers import judge
 from panelspark.llm.source_mixing import mix_sources
+from panelspark.llm.spherical_caps import near_duplicates
 from panelspark.llm.token_files import digest_token_files, new_folder, write_token_files
 from panelspark.sources.tables import read_table
 
@@ -34,6 +35,10 @@ def op1_line_dedup(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def op3_spherical_caps(spark: SparkSession, root: str) -> DataFrame:
+    return near_duplicates(read_table(spark, root, "embeddings"))
+
+
 def op4_language_id(spark: SparkSession, root: str) -> DataFrame:
     docs = documents(spark, root)
     trees = train(docs, in_training())
@@ -92,6 +97,7 @@ def op10_token_files(spark: SparkSession, root: str) -> DataFrame:
 
 QUERIES: dict[str, Builder] = {
     "op1_line_dedup": op1_line_dedup,
+    "op3_spherical_caps": op3_spherical_caps,
     "op4_language_id": op4_language_id,
     "op5_chat_windows": op5_chat_windows,
     "op6_chunked_bpe": op6_chunked_bpe,
