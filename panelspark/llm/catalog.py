@@ -11,14 +11,15 @@ from pyspark.sql import functions as F
 from panelspark.llm import sql
 from panelspark.llm.chat_windows import digest_windows, format_conversations
 from panelspark.llm.chunked_bpe import decode_documents, encode_documents
-from panelspark.llm.common import documents
+from panelspark.llm.common import crc32_mod, documents, new_folder
+from panelspark.llm.hidden_markov import score_documents
 from panelspark.llm.language_id import identify, in_training, train
 from panelspark.llm.line_dedup import dedup_lines
 from panelspark.llm.ngram_join import jaccard_components
 from panelspark.llm.robust_outliers import judge
 from panelspark.llm.source_mixing import mix_sources
 from panelspark.llm.spherical_caps import near_duplicates
-from panelspark.llm.token_files import digest_token_files, new_folder, write_token_files
+from panelspark.llm.token_files import digest_token_files, write_token_files
 from panelspark.sources.tables import read_table
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +36,14 @@ def op1_line_dedup(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def op2_hidden_markov(spark: SparkSession, root: str) -> DataFrame:
+    held_out = crc32_mod("doc_id", 10) == 0
+    scored = score_documents(
+        documents(spark, root).withColumn("held_out", held_out), ~held_out, keep=["doc_id", "held_out"]
+    )
+    return scored.select("doc.doc_id", "doc.held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op3_spherical_caps(spark: SparkSession, root: str) -> DataFrame:
     return near_duplicates(read_table(spark, root, "embeddings"))
 
@@ -97,6 +106,7 @@ def op10_token_files(spark: SparkSession, root: str) -> DataFrame:
 
 QUERIES: dict[str, Builder] = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_hidden_markov": op2_hidden_markov,
     "op3_spherical_caps": op3_spherical_caps,
     "op4_language_id": op4_language_id,
     "op5_chat_windows": op5_chat_windows,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,9 +13,6 @@ from panelspark.sources.tables import read_table
 #: A word: a run of characters other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
-#: Bytes of text per chunk of documents that is worked on together.
-CHUNK_BYTES = 8 << 20
-
 
 def documents(spark: SparkSession, root: str) -> DataFrame:
     return read_table(spark, root, "documents")
@@ -26,6 +25,18 @@ def saved(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A folder of its own in the shared folder of the session."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Like ``saved``, as a compressed table: for what is large, and read in parts."""
+    spark, path = df.sparkSession, new_folder(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def crc32_mod(doc_id: str, modulus: int) -> Column:
     """crc32 of the id as text, modulo ``modulus``; a null id counts as ''."""
     return F.pmod(F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")), F.lit(modulus))

@@ -14,7 +14,8 @@ from tokenizers import Tokenizer
 
 from panelspark.llm.chunked_bpe import decode_documents, encode_documents
 from panelspark.llm.elias_fano import EliasFano
-from panelspark.llm.token_files import digest_token_files, new_folder, read_token_files, write_token_files
+from panelspark.llm.common import new_folder
+from panelspark.llm.token_files import digest_token_files, read_token_files, write_token_files
 
 RANKS = P.path("byte_bpe_multi_50k.tiktoken")
 JSON = P.path("byte_bpe_50k.json")
