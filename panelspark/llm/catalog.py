@@ -119,6 +119,8 @@ QUERIES: dict[str, Builder] = {
 
 SQL: dict[str, str] = {
     "op1_line_dedup": sql.LINE_DEDUP,
+    "op3_spherical_caps": sql.SPHERICAL_CAPS,
+    "op8_ngram_join": sql.NGRAM_JOIN,
     "op9_source_mixing": sql.SOURCE_MIXING,
 }
 

@@ -94,3 +94,54 @@ SELECT raw.id AS doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_rem
        CASE WHEN raw.text IS NOT NULL THEN md5(kept) END AS kept_md5
 FROM raw LEFT JOIN per_doc ON raw.id = per_doc.id AND raw.th = per_doc.th
 """
+
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+NGRAM_JOIN = rf"""
+WITH RECURSIVE t AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{WORD}') AS w FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(
+    CASE WHEN len(w) >= 4 THEN list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))
+         WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END
+  ) AS shingle
+  FROM t
+), n AS (
+  SELECT doc_id, count(*) AS size FROM s GROUP BY doc_id
+), links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y
+  FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  JOIN n na ON na.doc_id = a.doc_id JOIN n nb ON nb.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, na.size, nb.size
+  HAVING 100 * count(*) >= 85 * (na.size + nb.size - count(*))
+), reach(id, other) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION
+  SELECT links.y, reach.other FROM reach JOIN links ON links.x = reach.id
+)
+SELECT d.doc_id, coalesce(any_value(n.size), 0)::BIGINT AS n_shingles, min(reach.other) AS component_id
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id JOIN reach ON reach.id = d.doc_id
+GROUP BY d.doc_id
+"""
+
+SPHERICAL_CAPS = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS x, b.vec_id AS y
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.95
+), reach(id, other) AS (
+  SELECT vec_id, vec_id FROM embeddings
+  UNION
+  SELECT links.y, reach.other FROM reach JOIN links ON links.x = reach.id
+), c AS (
+  SELECT id, min(other) AS component_id FROM reach GROUP BY id
+)
+SELECT e.vec_id, (SELECT count(*) FROM links WHERE links.x = e.vec_id)::BIGINT AS n_links, c.component_id,
+       e.vec_id = c.component_id AS kept
+FROM embeddings e JOIN c ON c.id = e.vec_id
+"""

@@ -25,7 +25,6 @@ from __future__ import annotations
 
 import os
 import re
-import uuid
 import zlib
 from collections.abc import Iterator
 from itertools import chain
@@ -37,17 +36,18 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from panelspark.llm.elias_fano import EliasFano
-from panelspark.session import ensure_checkpoint_dir
 
 BLOCK_IDS = 1 << 20
 #: Units whose ids a worker keeps; beyond it the dictionary starts anew.
-CACHE_UNITS = 300_000
+CACHE_UNITS = 600_000
 #: Characters of text encoded together, and new units per call of the library.
 SLICE_CHARS, JOINED_UNITS = 2 << 20, 48
 
 _OTHER_SPACE = re.compile(r"[^\S \n]")
 _DOUBLE_SPACE = re.compile(r"[ \n][ \n]|^ | $")
 _UNIT = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
+#: A word with one mark behind it: two pre-tokens.
+_MARKED = re.compile(r"[^\W\d_]+[.,]")
 
 BLOCK_SCHEMA = "shard int, block int, before long, n_docs long, n_ids long, width int, doc_ids array<long>, ends binary, ids binary"
 
@@ -70,6 +70,7 @@ class UnitEncoder:
         for token, i in vocabulary.items():
             self.token_bytes[i] = len(token)
         self.units: dict[str, bytes] = {}
+        self.marks = dict(zip(".,", self._whole([".", ","]), strict=True))
 
     @classmethod
     def shared(cls, definition: str) -> UnitEncoder:
@@ -108,8 +109,11 @@ class UnitEncoder:
                 odd[i] = _UNIT.findall(text)
             keyed.append([] if i in odd else self._units(text))
         known = self.units
-        new = [u for u in set(chain.from_iterable(keyed)) if u not in known]
-        self._learn(new)
+        new = {u for u in chain.from_iterable(keyed) if u not in known}
+        marked = [u for u in new if _MARKED.fullmatch(u)]
+        self._learn([u for u in {*new.difference(marked), *(u[:-1] for u in marked)} if u not in known])
+        for u in marked:
+            known[u] = known[u[:-1]] + self.marks[u[-1]]
         out = [b"".join([known[u] for u in units]) for units in keyed]
         for i, units in odd.items():
             out[i] = b"".join(self._whole(units))
@@ -277,7 +281,3 @@ def digest_token_files(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every document, read from the files."""
     return _blocks(spark, path).mapInArrow(_digests, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
-
-def new_folder(spark: SparkSession, name: str) -> str:
-    """A folder of its own in the shared folder of the session."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
