@@ -58,7 +58,7 @@ JOBS: list[Query] = [
     Query("dataset_overview", _both(ex.dataset_overview), J.dataset_overview(), "job"),
     Query("column_completeness", _both(ex.column_completeness), J.column_completeness(), "job"),
     Query("group_distribution", _deaths(ex.group_distribution), J.GROUP_DISTRIBUTION, "job"),
-    Query("group_value_stats", _deaths(ex.group_value_stats), J.GROUP_VALUE_STATS, "job"),
+    Query("group_value_stats", _deaths(ex.group_value_stats), J.group_value_stats(), "job"),
     Query("entity_coverage", _deaths(ex.entity_coverage), J.entity_coverage(), "job"),
     Query("entity_coverage_reported", _deaths(ex.entity_coverage, reported="new_cases"),
           J.entity_coverage("new_cases"), "job"),
@@ -79,10 +79,22 @@ JOBS: list[Query] = [
     Query("phase_effectiveness", _vax_deaths(vx.phase_effectiveness), J.phase_effectiveness(), "job"),
     Query("phase_effectiveness_by_days", _vax_deaths(vx.phase_effectiveness, by_days=True),
           J.phase_effectiveness(True), "job"),
-    Query("milestone_timeline", _vax(vx.milestone_timeline), J.MILESTONE_TIMELINE, "job"),
-    Query("level_outcomes", _vax_deaths(vx.level_outcomes), J.LEVEL_OUTCOMES, "job"),
+    Query("milestone_timeline", _vax(vx.milestone_timeline), J.milestone_timeline(), "job"),
+    Query("level_outcomes", _vax_deaths(vx.level_outcomes), J.level_outcomes(), "job"),
     Query("booster_outcomes", _vax_deaths(vx.booster_outcomes), J.BOOSTER_OUTCOMES, "job"),
-    Query("inequality", _vax(vx.inequality), J.INEQUALITY, "job"),
+    Query("inequality", _vax(vx.inequality), J.inequality(), "job"),
+    # Options of the jobs.
+    Query("rolling_outliers_low", _deaths(ex.rolling_outliers, side="low"), J.rolling_outliers(side="low"), "job"),
+    Query("rolling_outliers_both_sample", _deaths(ex.rolling_outliers, side="both", ddof=1),
+          J.rolling_outliers(side="both", ddof=1), "job"),
+    Query("group_value_stats_sample", _deaths(ex.group_value_stats, ddof=1), J.group_value_stats(1), "job"),
+    Query("inequality_sample", _vax(vx.inequality, ddof=1), J.inequality(1), "job"),
+    Query("milestone_timeline_first", _vax(vx.milestone_timeline, crossing="first"),
+          J.milestone_timeline("first"), "job"),
+    Query("lagged_association_by_days", _deaths(ga.lagged_association, by_days=True),
+          J.lagged_association(by_days=True), "job"),
+    Query("level_outcomes_by_days_corr", _vax_deaths(vx.level_outcomes, by_days=True, with_corr=True),
+          J.level_outcomes(True, True), "job"),
 ]
 
 
@@ -90,6 +102,16 @@ JOBS: list[Query] = [
 # panels (and every window, join and ranking on them) grow with the data.
 _S = "supplier"
 JOBS += [
+    Query("dataset_overview_by_supplier", _both(ex.dataset_overview, _S), J.dataset_overview(), "job", _S),
+    Query("column_completeness_by_supplier", _both(ex.column_completeness, _S), J.column_completeness(), "job", _S),
+    Query("group_distribution_by_supplier", _deaths(ex.group_distribution, _S), J.GROUP_DISTRIBUTION, "job", _S),
+    Query("group_value_stats_by_supplier", _deaths(ex.group_value_stats, _S), J.group_value_stats(), "job", _S),
+    Query("entity_coverage_by_supplier", _deaths(ex.entity_coverage, _S, reported="new_cases"),
+          J.entity_coverage("new_cases"), "job", _S),
+    Query("consistency_check_by_supplier", _deaths(ex.consistency_check, _S), J.CONSISTENCY_CHECK, "job", _S),
+    Query("latest_summary_by_supplier", _deaths(ex.latest_summary, _S), J.LATEST_SUMMARY, "job", _S),
+    Query("group_percentiles_by_supplier", _deaths(ga.group_percentiles, _S), J.GROUP_PERCENTILES, "job", _S),
+    Query("growth_phases_by_supplier", _deaths(ga.growth_phases, _S), J.GROWTH_PHASES, "job", _S),
     Query("rolling_outliers_by_supplier", _deaths(ex.rolling_outliers, _S), J.rolling_outliers(), "job", _S),
     Query("global_trend_by_supplier", _deaths(ga.global_trend, _S, start_date=TREND_START),
           J.global_trend(TREND_START), "job", _S),
@@ -99,10 +121,10 @@ JOBS += [
     Query("latest_coverage_by_supplier", _vax(vx.latest_coverage, _S), J.LATEST_COVERAGE, "job", _S),
     Query("phase_effectiveness_by_supplier", _vax_deaths(vx.phase_effectiveness, _S), J.phase_effectiveness(),
           "job", _S),
-    Query("milestone_timeline_by_supplier", _vax(vx.milestone_timeline, _S), J.MILESTONE_TIMELINE, "job", _S),
-    Query("level_outcomes_by_supplier", _vax_deaths(vx.level_outcomes, _S), J.LEVEL_OUTCOMES, "job", _S),
+    Query("milestone_timeline_by_supplier", _vax(vx.milestone_timeline, _S), J.milestone_timeline(), "job", _S),
+    Query("level_outcomes_by_supplier", _vax_deaths(vx.level_outcomes, _S), J.level_outcomes(), "job", _S),
     Query("booster_outcomes_by_supplier", _vax_deaths(vx.booster_outcomes, _S), J.BOOSTER_OUTCOMES, "job", _S),
-    Query("inequality_by_supplier", _vax(vx.inequality, _S), J.INEQUALITY, "job", _S),
+    Query("inequality_by_supplier", _vax(vx.inequality, _S), J.inequality(), "job", _S),
 ]
 
 

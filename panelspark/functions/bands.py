@@ -53,15 +53,6 @@ class Banding:
             expr = F.when(lab == name, F.lit(i)) if expr is None else expr.when(lab == name, F.lit(i))
         return expr
 
-    def ordinal_sql(self, column: str) -> str:
-        arms = " ".join(f"WHEN '{name}' THEN {i}" for i, name in enumerate(self.order, start=1))
-        return f"CASE {column} {arms} END"
-
-    def label_sql(self, column: str) -> str:
-        op = {"lt": "<", "gt": ">", "ge": ">="}[self.mode]
-        arms = " ".join(f"WHEN {column} {op} {cut} THEN '{lab}'" for cut, lab in zip(self.cuts, self.labels))
-        return f"CASE {arms} ELSE '{self.labels[-1]}' END"
-
 
 # ---------------------------------------------------------------------------
 # Cut-offs and output labels of the reference analyses. They are

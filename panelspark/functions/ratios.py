@@ -51,3 +51,13 @@ def mean_of_rounded(col, places: int) -> Column:
     """
     unit = 10 ** places
     return F.round(F.avg(F.round(_col(col) * F.lit(unit), 0)), 0) / F.lit(unit)
+
+
+def mean_of_decimals(col, places: int, digits: int = 6) -> Column:
+    """``ROUND(AVG(col), places)`` for a column with at most ``digits`` decimals.
+
+    Taken in integer units of ``10**-digits``, for the reason given in
+    ``mean_of_rounded``; the values themselves are not rounded to ``places``.
+    """
+    mean = F.avg(F.round(_col(col) * F.lit(10 ** digits), 0)) / F.lit(10 ** (digits - places))
+    return F.round(mean, 0) / F.lit(10 ** places)

@@ -1,27 +1,26 @@
 """Reusable DataFrame operators (built-in Spark expressions only)."""
 
 from panelspark.operators.joins import duplicate_keys, panel_join
-from panelspark.operators.latest import latest_date, latest_global, latest_per_entity, rows_at_entity_latest
+from panelspark.operators.latest import aggregate_latest, latest_global, latest_per_entity, rows_at_entity_latest
 from panelspark.operators.milestones import crossings, pivot_dates
 from panelspark.operators.profile import two_level_profile
 from panelspark.operators.profiling import completeness, overview
-from panelspark.operators.ranking import add_row_numbers, global_row_number, top_k
-from panelspark.operators.rolling import rolling, rolling_stat, series_window, shifted
+from panelspark.operators.ranking import positions_of, global_row_number, top_k
+from panelspark.operators.rolling import rolling, series_window, shifted
 
 __all__ = [
-    "add_row_numbers",
+    "positions_of",
     "completeness",
     "crossings",
     "duplicate_keys",
     "global_row_number",
-    "latest_date",
+    "aggregate_latest",
     "latest_global",
     "latest_per_entity",
     "overview",
     "panel_join",
     "pivot_dates",
     "rolling",
-    "rolling_stat",
     "rows_at_entity_latest",
     "series_window",
     "shifted",

@@ -18,16 +18,15 @@ def panel_join(
     right: DataFrame,
     keys: Sequence[str] = ("location", "date"),
     how: str = "inner",
-    co_partition_on: str | None = "location",
+    co_partition_on: str | None = None,
 ) -> DataFrame:
     """Equi-join two panels on ``keys`` (one copy of each key column).
 
-    With ``co_partition_on`` set, both sides are hash-partitioned on that key
-    prefix before the join. Together with
-    ``spark.sql.requireAllClusterKeysForCoPartition=false`` (set by
-    ``session.build_session``) the join and any following per-entity window
-    reuse that single shuffle: two exchanges instead of three. If one side is
-    small enough, AQE still turns the join into a broadcast join at runtime.
+    By default Spark plans the join: it may broadcast a side, and AQE may split
+    the partitions of a hot key. ``co_partition_on`` hash-partitions both sides
+    on one key first, so that a per-entity window after the join needs no
+    shuffle of its own (with ``spark.sql.requireAllClusterKeysForCoPartition``
+    off); such a partitioning is never split, so it is for entities of even size.
 
     Duplicate keys fan out, as in SQL; check with ``duplicate_keys`` first
     when uniqueness matters.

@@ -2,42 +2,43 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelspark.session import ensure_checkpoint_dir
 
+def latest_global(df: DataFrame, date: str = "date", where: Column | None = None) -> DataFrame:
+    """Rows matching ``where`` whose ``date`` equals the latest such date.
 
-def latest_date(df: DataFrame, date: str = "date", where: Column | None = None) -> Column:
-    """Scalar subquery: the maximum ``date`` among rows matching ``where``.
+    Entities that did not report on that day are absent: "latest" is one date
+    for the whole table, not per entity (see ``latest_per_entity``).
 
-    Spark evaluates it once per query (a partial + final aggregate over the
-    pruned date column) and substitutes the value into the outer filter.
+    The maximum is a scalar subquery over the date column. On a stored table
+    the filter then reaches the scan, which prunes by date. Jobs that only need
+    sums at the latest date take them per date instead, in one pass
+    (``aggregate_latest``).
     """
     base = df if where is None else df.where(where)
-    return base.select(F.max(date)).scalar()
+    return base.where(F.col(date) == base.select(F.max(date)).scalar())
 
 
-def latest_global(
-    df: DataFrame, date: str = "date", where: Column | None = None, materialize: bool = True
+def aggregate_latest(
+    df: DataFrame, aggregates: Sequence[Column], by: Sequence[str] = (), date: str = "date"
 ) -> DataFrame:
-    """Rows matching ``where`` whose ``date`` equals the latest such date.
+    """``aggregates`` over the rows at the table's latest date, per ``by``.
 
-    Entities that did not report on that day are absent: "latest" is one date
-    for the whole table, not per entity (see ``latest_per_entity``).
-
-    The maximum is a scalar subquery, which Spark plans separately from the
-    outer query; with a derived input both would recompute the derivation
-    (column pruning makes their shuffles differ, so none is reused). With
-    ``materialize`` the filtered input is checkpointed once to the shared
-    checkpoint folder and both read that copy. Select only the needed columns
-    before calling: nothing is pruned through a checkpoint.
+    One pass: the aggregates are taken per date (map-side combined), and of that
+    small result the last date of each group is kept, if it is the last of all.
+    Without ``by`` there is one row also for an empty input, as with any global aggregate.
     """
-    base = df if where is None else df.where(where)
-    if materialize:
-        ensure_checkpoint_dir(df.sparkSession)
-        base = base.checkpoint(eager=True)
-    return base.where(F.col(date) == base.select(F.max(date)).scalar())
+    daily = df.groupBy(*by, date).agg(*aggregates)
+    names = daily.columns[len(by) + 1 :]
+    last = daily.groupBy(*by).agg(F.max_by(F.struct(*names), date).alias("_at"), F.max(date).alias("_date"))
+    if by:
+        last = last.withColumn("_latest", F.max("_date").over(Window.partitionBy(F.lit(0))))
+        last = last.where(F.col("_date") == F.col("_latest"))
+    return last.select(*by, *[F.col(f"_at.{n}").alias(n) for n in names])
 
 
 def latest_per_entity(
@@ -68,9 +69,9 @@ def rows_at_entity_latest(
     ``reported`` holds (the correlated ``date = (SELECT MAX(date) ... WHERE
     b.entity = a.entity AND reported)`` form). Keeps every row at that date.
 
-    Expressed as ``max(date)`` over a per-entity window, which reads the
-    table once instead of a self-join.
+    ``rank() = 1`` keeps all ties and plans a WindowGroupLimit below and above
+    the shuffle: each map task forwards only its entities' last rows.
     """
     base = df if reported is None else df.where(reported)
-    w = Window.partitionBy(entity)
-    return base.withColumn("_latest", F.max(date).over(w)).where(F.col(date) == F.col("_latest")).drop("_latest")
+    w = Window.partitionBy(entity).orderBy(F.col(date).desc())
+    return base.withColumn("_rank", F.rank().over(w)).where(F.col("_rank") == 1).drop("_rank")

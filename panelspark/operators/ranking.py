@@ -7,10 +7,10 @@ entities are many. ``global_row_number`` computes the same numbers with a
 range-partitioned sort:
 
 1. range-partition the rows on the ordering (Spark samples the key to pick
-   boundaries, so partitions are balanced) and sort each partition;
-2. number rows inside each partition and record the partition id, then
+   boundaries, so partitions are balanced), record the partition id, and
    checkpoint that to the shared checkpoint folder: the ids are fixed from
    then on, so a lost executor or a second read cannot renumber anything;
+2. number the rows of each partition with a window over it;
 3. count rows per partition (one row per partition), turn the counts into
    offsets with a running sum, and broadcast them back (size bounded by the
    number of partitions).
@@ -28,8 +28,6 @@ from pyspark.sql import functions as F
 
 from panelspark.session import ensure_checkpoint_dir
 
-_LOCAL_BITS = 33  # monotonically_increasing_id keeps the record index in the low 33 bits
-
 
 def global_row_number(
     df: DataFrame,
@@ -42,15 +40,8 @@ def global_row_number(
     ensure_checkpoint_dir(spark)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     columns = df.columns
-    numbered = (
-        df.repartitionByRange(n, *order)
-        .sortWithinPartitions(*order)
-        .withColumn("_gid", F.monotonically_increasing_id())
-        .withColumn("_part", F.shiftright("_gid", _LOCAL_BITS))
-        .withColumn("_local", F.col("_gid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1)))
-        .drop("_gid")
-        .checkpoint(eager=True)
-    )
+    placed = df.repartitionByRange(n, *order).withColumn("_part", F.spark_partition_id()).checkpoint(eager=True)
+    numbered = placed.withColumn("_local", F.row_number().over(Window.partitionBy("_part").orderBy(*order)))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         numbered.groupBy("_part")
@@ -58,38 +49,35 @@ def global_row_number(
         .select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
     )
     return numbered.join(F.broadcast(offsets), "_part").select(
-        *columns, (F.col("_offset") + F.col("_local") + 1).alias(name)
+        *columns, (F.col("_offset") + F.col("_local")).alias(name)
     )
 
 
-# Up to this many rows a ranking runs as a plain unpartitioned window (one
-# task sorts them); beyond it the distributed ``global_row_number`` is used.
-SINGLE_TASK_ROWS = 1_000_000
-
-
-def add_row_numbers(
-    df: DataFrame,
-    rankings: Sequence[tuple[str, Sequence[Column]]],
-    single_task_rows: int = SINGLE_TASK_ROWS,
+def positions_of(
+    selected: DataFrame, df: DataFrame, key: str, rankings: Sequence[tuple[str, str]]
 ) -> DataFrame:
-    """Add one global ``row_number`` column per ``(name, order)``.
-
-    The input is materialised once with ``checkpoint()`` into the shared
-    checkpoint folder (lineage cut: the rankings and the size check read it
-    instead of recomputing the upstream plan), and its row count is taken from
-    the materialised copy. Small inputs are ranked with ordinary windows; above
-    ``single_task_rows`` every ranking is a distributed ``global_row_number``,
-    so the size of what one task sorts is always bounded.
+    """For the few rows of ``selected``, their position in each ranking of all rows of ``df``.
+
+    A ranking (name, metric) is descending, NULL last, ties by ``key``; the
+    position is one more than the number of rows ahead. The selected rows, whose number must be
+    a small constant such as a top k, become one array; every row of ``df``
+    adds up, per selected row, whether it is ahead, so the whole table is read
+    once, in parallel, and no task sorts it.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    base = df.checkpoint(eager=True)
-    if base.count() <= single_task_rows:
-        return base.select(
-            "*", *[F.row_number().over(Window.orderBy(*order)).cast("long").alias(name) for name, order in rankings]
-        )
-    for name, order in rankings:
-        base = global_row_number(base, order, name)
-    return base
+    metrics = [m for _, m in rankings]
+    chosen = selected.agg(F.collect_list(F.struct(key, *metrics)).alias("s")).select("s").scalar()
+
+    def ahead(s: Column, metric: str) -> Column:
+        v = F.col(metric)
+        tie = v.eqNullSafe(s[metric]) & (F.col(key) < s[key])
+        return F.coalesce(v > s[metric], v.isNotNull() & s[metric].isNull()) | tie
+
+    counts = (
+        df.select(key, *metrics, F.explode(chosen).alias("s"))
+        .groupBy(F.col(f"s.{key}").alias(key))
+        .agg(*[(F.count_if(ahead(F.col("s"), metric)) + 1).alias(name) for name, metric in rankings])
+    )
+    return selected.join(counts, key)
 
 
 def top_k(df: DataFrame, k: int, order: Sequence[Column]) -> DataFrame:

@@ -53,21 +53,6 @@ def rolling(
     return _FUNCS[fn](value).over(w)
 
 
-def rolling_stat(
-    df: DataFrame,
-    value: str,
-    start: int,
-    end: int,
-    fn: str = "avg",
-    name: str | None = None,
-    entity: str = "location",
-    date: str = "date",
-    by_days: bool = False,
-) -> DataFrame:
-    """Add one rolling-statistic column to ``df``."""
-    return df.withColumn(name or f"{fn}_{value}", rolling(value, start, end, fn, entity, date, by_days))
-
-
 def shifted(value: str, offset: int, entity: str = "location", date: str = "date") -> Column:
     """``value`` from ``offset`` rows earlier (offset > 0, LAG) or later (offset < 0, LEAD)."""
     w = series_window(entity, date)

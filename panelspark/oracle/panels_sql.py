@@ -43,12 +43,15 @@ ps_ent AS ({entities}
 ps_orders AS (
     SELECT o_custkey, o_totalprice, o_orderstatus, CAST(o_orderdate AS DATE) AS day FROM orders
 ),
+ps_days AS (
+    SELECT day FROM ps_orders UNION ALL SELECT CAST(l_shipdate AS DATE) FROM lineitem
+),
 ps_grid AS (
     SELECT k, location, continent, CAST(d AS DATE) AS date
     FROM (
         SELECT e.k, e.location, e.continent,
-               unnest(generate_series(CAST((SELECT MIN(day) FROM ps_orders) AS TIMESTAMP),
-                                      CAST((SELECT MAX(day) FROM ps_orders) AS TIMESTAMP),
+               unnest(generate_series(CAST((SELECT MIN(day) FROM ps_days) AS TIMESTAMP),
+                                      CAST((SELECT MAX(day) FROM ps_days) AS TIMESTAMP),
                                       INTERVAL 1 DAY)) AS d
         FROM ps_ent e
     ) g

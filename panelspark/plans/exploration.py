@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from panelspark.functions import bands
 from panelspark.functions.ratios import pct_ratio
-from panelspark.operators.latest import latest_global
+from panelspark.operators.latest import aggregate_latest
 from panelspark.operators.profiling import completeness, overview
 from panelspark.operators.ranking import top_k
 from panelspark.operators.rolling import rolling
@@ -208,16 +208,25 @@ def consistency_check(deaths: DataFrame, spec: PanelSpec = DEFAULT) -> DataFrame
 
 
 def latest_summary(deaths: DataFrame, spec: PanelSpec = DEFAULT) -> DataFrame:
-    """Totals and global rates over the rows at the table's latest date."""
-    panel = deaths.select(spec.group, spec.entity, spec.date, "population", "total_cases", "total_deaths")
-    latest = latest_global(panel, spec.date, F.col(spec.group).isNotNull())
-    cases, deaths_, pop = F.sum("total_cases"), F.sum("total_deaths"), F.sum("population")
-    return latest.agg(
+    """Totals and global rates over the rows at the table's latest date.
+
+    Summed per date in one pass; the last date is taken from the sums."""
+    totals = aggregate_latest(
+        grouped_rows(deaths, spec),
+        [
+            F.count_distinct(spec.entity).alias("n"),
+            F.sum("population").alias("p"),
+            F.sum("total_cases").alias("c"),
+            F.sum("total_deaths").alias("d"),
+        ],
+        date=spec.date,
+    )
+    return totals.select(
         F.lit(bands.GLOBAL_SUMMARY).alias("metric"),
-        F.count_distinct(spec.entity).alias("total_countries"),
-        pop.alias("total_population"),
-        cases.alias("total_cases"),
-        deaths_.alias("total_deaths"),
-        pct_ratio(cases, pop, 2).alias("global_infection_rate_percent"),
-        pct_ratio(deaths_, cases, 2).alias("global_case_fatality_rate_percent"),
+        F.coalesce("n", F.lit(0).cast("long")).alias("total_countries"),
+        F.col("p").alias("total_population"),
+        F.col("c").alias("total_cases"),
+        F.col("d").alias("total_deaths"),
+        pct_ratio("c", "p", 2).alias("global_infection_rate_percent"),
+        pct_ratio("d", "c", 2).alias("global_case_fatality_rate_percent"),
     )

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from panelspark.functions import bands
 from panelspark.functions.ratios import growth_pct, mean_of_rounded, pct_ratio
-from panelspark.operators.latest import latest_global
-from panelspark.operators.ranking import SINGLE_TASK_ROWS, add_row_numbers, top_k
+from panelspark.operators.latest import aggregate_latest, latest_global
+from panelspark.operators.ranking import positions_of, top_k
 from panelspark.operators.rolling import rolling, shifted
 from panelspark.plans.exploration import grouped_rows
 from panelspark.spec import DEFAULT, PanelSpec
@@ -66,23 +66,20 @@ _RANKINGS = (
 )
 
 
-def entity_rankings(
-    deaths: DataFrame, k: int = 20, single_task_rows: int = SINGLE_TASK_ROWS, spec: PanelSpec = DEFAULT
-) -> DataFrame:
+def entity_rankings(deaths: DataFrame, k: int = 20, spec: PanelSpec = DEFAULT) -> DataFrame:
     """At the table's latest date, three rates and five global rankings of
     the entities with positive cases and deaths; keep the entities in the top
     ``k`` by cases or by deaths.
 
     Rankings use the unrounded values, descending, ties broken by entity name.
-    ``add_row_numbers`` ranks one row per entity: ordinary windows while the
-    entity count is small, a distributed range-partitioned ranking beyond
-    that, so the number of entities is not limited by one task.
+    Only the at most 2 ``k`` entities of the result need their positions, so
+    they are counted (``positions_of``); no task sorts all entities.
     """
     panel = deaths.select(spec.group, spec.entity, spec.date, "population", "total_cases", "total_deaths")
     latest = latest_global(panel, spec.date, F.col(spec.group).isNotNull()).where(
         (F.col("total_cases") > 0) & (F.col("total_deaths") > 0)
     )
-    ranked = latest.select(
+    rated = latest.select(
         spec.entity,
         spec.group,
         "population",
@@ -92,13 +89,10 @@ def entity_rankings(
         pct_ratio("total_deaths", "population").alias("_death"),
         pct_ratio("total_deaths", "total_cases").alias("_fatality"),
     )
-    ranked = add_row_numbers(
-        ranked,
-        [(name, [F.col(metric).desc_nulls_last(), F.col(spec.entity)]) for name, metric in _RANKINGS],
-        single_task_rows,
-    )
+    best = lambda c: top_k(rated, k, [F.col(c).desc_nulls_last(), F.col(spec.entity)])
+    chosen = best("total_cases").unionByName(best("total_deaths")).distinct()
     return (
-        ranked.where((F.col("rank_by_total_cases") <= k) | (F.col("rank_by_total_deaths") <= k))
+        positions_of(chosen, rated, spec.entity, _RANKINGS)
         .select(
             spec.entity,
             spec.group,
@@ -120,17 +114,22 @@ def group_percentiles(deaths: DataFrame, spec: PanelSpec = DEFAULT) -> DataFrame
 
     The percent ranks run on one row per group (bounded by the group count).
     """
-    panel = deaths.select(spec.group, spec.entity, spec.date, "population", "total_cases", "total_deaths")
-    latest = latest_global(panel, spec.date, F.col(spec.group).isNotNull()).where(F.col("total_cases") > 0)
-    stats = latest.groupBy(spec.group).agg(
-        F.count_distinct(spec.entity).alias("countries_count"),
-        F.round(F.avg(pct_ratio("total_cases", "population")), 2).alias("avg_infection_rate"),
-        F.round(F.avg(pct_ratio("total_deaths", "population")), 2).alias("avg_death_rate"),
-        F.round(F.avg(pct_ratio("total_deaths", "total_cases")), 2).alias("avg_fatality_rate"),
-        F.sum("total_cases").alias("total_cases_sum"),
-        F.sum("total_deaths").alias("total_deaths_sum"),
-        F.sum("population").alias("total_population"),
-    )
+    seen = F.col("total_cases") > 0
+    among = lambda c: F.when(seen, c)
+    stats = aggregate_latest(
+        grouped_rows(deaths, spec),
+        [
+            F.count_distinct(among(F.col(spec.entity))).alias("countries_count"),
+            F.round(F.avg(among(pct_ratio("total_cases", "population"))), 2).alias("avg_infection_rate"),
+            F.round(F.avg(among(pct_ratio("total_deaths", "population"))), 2).alias("avg_death_rate"),
+            F.round(F.avg(among(pct_ratio("total_deaths", "total_cases"))), 2).alias("avg_fatality_rate"),
+            F.sum(among(F.col("total_cases"))).alias("total_cases_sum"),
+            F.sum(among(F.col("total_deaths"))).alias("total_deaths_sum"),
+            F.sum(among(F.col("population"))).alias("total_population"),
+        ],
+        by=[spec.group],
+        date=spec.date,
+    ).where("countries_count > 0")
 
     def pct_rank(col: str):
         return F.round(F.percent_rank().over(Window.orderBy(F.col(col).asc_nulls_first())) * 100, 1)

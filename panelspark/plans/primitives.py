@@ -19,10 +19,11 @@ from panelspark.operators.milestones import crossings, pivot_dates
 from panelspark.operators.profile import two_level_profile
 from panelspark.operators.ranking import global_row_number
 from panelspark.operators.rolling import rolling, shifted
-from panelspark.oracle.jobs_sql import LATEST, NN, pct, pct_round
+from panelspark.oracle.jobs_sql import CROSSED, OWN, OWN_VAX, PHASE_BANDS, exact_pct
 from panelspark.plans.exploration import grouped_rows
 from panelspark.plans.vaccination import COVERAGE, MILESTONE_COLUMNS
 from panelspark.sources.panels import deaths_panel, vax_panel
+from panelspark.sources.tables import read_table
 
 
 def _q(name, build, sql, kind="operator"):
@@ -41,8 +42,9 @@ def _latest_global(spark: SparkSession, root: str) -> DataFrame:
 
 
 LATEST_GLOBAL_SQL = f"""
+WITH {OWN}
 SELECT continent, location, date, population, total_cases, total_deaths
-FROM deaths_panel WHERE {NN} AND date = {LATEST}
+FROM own WHERE NOT EXISTS (SELECT 1 FROM (SELECT MAX(date) AS newest FROM own) WHERE newest > own.date)
 """
 
 
@@ -54,10 +56,10 @@ def _latest_per_entity(spark: SparkSession, root: str) -> DataFrame:
 
 
 LATEST_PER_ENTITY_SQL = f"""
-SELECT location, date, total_vaccinations, people_fully_vaccinated FROM (
-    SELECT *, ROW_NUMBER() OVER (PARTITION BY location ORDER BY date DESC) AS rn
-    FROM vax_panel WHERE {NN} AND total_vaccinations IS NOT NULL
-) t WHERE rn = 1
+WITH {OWN_VAX}
+SELECT location, MAX(date) AS date, arg_max(total_vaccinations, date) AS total_vaccinations,
+       arg_max(people_fully_vaccinated, date) AS people_fully_vaccinated
+FROM own_vax WHERE total_vaccinations IS NOT NULL GROUP BY location
 """
 
 
@@ -67,9 +69,9 @@ def _rows_at_entity_latest(spark: SparkSession, root: str) -> DataFrame:
 
 
 ROWS_AT_ENTITY_LATEST_SQL = f"""
-SELECT v.location, v.date, v.{COVERAGE} FROM vax_panel v
-WHERE v.{COVERAGE} IS NOT NULL
-  AND v.date = (SELECT MAX(v2.date) FROM vax_panel v2 WHERE v2.location = v.location AND v2.{COVERAGE} IS NOT NULL)
+WITH reported AS (SELECT location, date, {COVERAGE} FROM vax_panel WHERE {COVERAGE} IS NOT NULL)
+SELECT a.* FROM reported a LEFT JOIN reported later ON later.location = a.location AND later.date > a.date
+WHERE later.date IS NULL
 """
 
 
@@ -99,7 +101,7 @@ SELECT location, date, new_cases,
        CAST(SUM(new_cases) OVER days7 AS BIGINT) AS sum_7_days,
        COUNT(new_cases) OVER days7 AS reports_7_days
 FROM deaths_panel
-WHERE {NN} AND new_cases IS NOT NULL
+WHERE continent IS NOT NULL AND new_cases IS NOT NULL
 WINDOW prev7 AS (PARTITION BY location ORDER BY date ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING),
        days7 AS (PARTITION BY location ORDER BY date RANGE BETWEEN INTERVAL 6 DAYS PRECEDING AND CURRENT ROW)
 """
@@ -122,10 +124,10 @@ SELECT location, date, total_cases,
        LAG(new_deaths, 14) OVER s AS new_deaths_lag_14,
        LEAD(new_deaths, 14) OVER s AS new_deaths_lead_14,
        CASE WHEN LAG(total_cases, 1) OVER s > 0
-            THEN {pct_round('total_cases - LAG(total_cases, 1) OVER s', 'LAG(total_cases, 1) OVER s', 2)}
+            THEN {exact_pct('(total_cases - LAG(total_cases, 1) OVER s)', '(LAG(total_cases, 1) OVER s)')}
        END AS growth_percent
 FROM deaths_panel
-WHERE {NN} AND total_cases IS NOT NULL
+WHERE continent IS NOT NULL AND total_cases IS NOT NULL
 WINDOW s AS (PARTITION BY location ORDER BY date)
 """
 
@@ -150,44 +152,48 @@ def _ratios_and_bands(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+# A NULL coverage gets the last arm of its banding.
 RATIOS_AND_BANDS_SQL = f"""
 SELECT location, date,
-       {pct_round('people_fully_vaccinated', 'population', 2)} AS fully_vaccinated_rate,
-       {pct_round('total_boosters', 'people_fully_vaccinated', 2)} AS booster_uptake_rate,
-       {bands.VACCINATION_PHASES.label_sql(COVERAGE)} AS vaccination_phase,
-       {bands.VACCINATION_PHASES.ordinal_sql(bands.VACCINATION_PHASES.label_sql(COVERAGE))} AS phase_order,
-       {bands.VACCINATION_LEVELS.label_sql(COVERAGE)} AS vaccination_level,
-       {bands.VACCINATION_LEVELS.ordinal_sql(bands.VACCINATION_LEVELS.label_sql(COVERAGE))} AS level_order,
-       {bands.BOOSTER_LEVELS.label_sql('total_boosters_per_hundred')} AS booster_level,
-       {bands.DEVELOPMENT_LEVELS.label_sql('human_development_index')} AS development_level
-FROM vax_panel WHERE {NN}
+       {exact_pct('people_fully_vaccinated', 'population')} AS fully_vaccinated_rate,
+       {exact_pct('total_boosters', 'people_fully_vaccinated')} AS booster_uptake_rate,
+       CASE WHEN {COVERAGE} < 10 THEN 'Pre-Vaccination (<10%)' WHEN {COVERAGE} < 30 THEN 'Early Vaccination (10-30%)'
+            WHEN {COVERAGE} < 50 THEN 'Mid Vaccination (30-50%)' WHEN {COVERAGE} < 70 THEN 'High Vaccination (50-70%)'
+            ELSE 'Full Vaccination (>70%)' END AS vaccination_phase,
+       CASE WHEN {COVERAGE} < 10 THEN 1 WHEN {COVERAGE} < 30 THEN 2 WHEN {COVERAGE} < 50 THEN 3
+            WHEN {COVERAGE} < 70 THEN 4 ELSE 5 END AS phase_order,
+       CASE WHEN {COVERAGE} > 50 THEN 'High Vaccination (>50%)' WHEN {COVERAGE} > 30 THEN 'Medium Vaccination (30-50%)'
+            WHEN {COVERAGE} > 10 THEN 'Low Vaccination (10-30%)' ELSE 'Minimal Vaccination (<10%)' END
+           AS vaccination_level,
+       CASE WHEN {COVERAGE} > 50 THEN 4 WHEN {COVERAGE} > 30 THEN 3 WHEN {COVERAGE} > 10 THEN 2 ELSE 1 END AS level_order,
+       CASE WHEN total_boosters_per_hundred > 30 THEN 'High Booster Coverage (>30%)'
+            WHEN total_boosters_per_hundred > 15 THEN 'Medium Booster Coverage (15-30%)'
+            WHEN total_boosters_per_hundred > 5 THEN 'Low Booster Coverage (5-15%)'
+            ELSE 'Minimal Booster Coverage (<5%)' END AS booster_level,
+       CASE WHEN human_development_index >= 0.8 THEN 'Very High Development'
+            WHEN human_development_index >= 0.7 THEN 'High Development'
+            WHEN human_development_index >= 0.55 THEN 'Medium Development' ELSE 'Low Development' END
+           AS development_level
+FROM vax_panel WHERE continent IS NOT NULL
 """
 
 
 def _crossings(spark: SparkSession, root: str) -> DataFrame:
     v = grouped_rows(vax_panel(spark, root)).where(F.col(COVERAGE).isNotNull())
-    return crossings(v, COVERAGE, bands.MILESTONES).where(F.col("milestone_reached").isNotNull()).select(
-        "location", "date", COVERAGE, "milestone_reached"
+    marked = crossings(v, COVERAGE, bands.MILESTONES).where(F.col("milestone_reached").isNotNull())
+    again = Window.partitionBy("location", "milestone_reached").orderBy("date")
+    return marked.select(
+        "location", "date", COVERAGE, "milestone_reached",
+        F.row_number().over(again).cast("long").alias("crossing_number"),
     )
 
 
-def _milestone_case_sql() -> str:
-    arms = " ".join(f"WHEN cov >= {t} AND prev < {t} THEN '{lab}'" for t, lab in bands.MILESTONES)
-    return f"CASE {arms} END"
-
-
-CROSSINGS_BASE_SQL = f"""
-WITH ordered AS (
-    SELECT location, continent, date, {COVERAGE} AS cov,
-           LAG({COVERAGE}, 1) OVER (PARTITION BY location ORDER BY date) AS prev
-    FROM vax_panel WHERE {NN} AND {COVERAGE} IS NOT NULL
-),
-marked AS (
-    SELECT location, continent, date, cov, {_milestone_case_sql()} AS milestone_reached FROM ordered
-)"""
-
-CROSSINGS_SQL = CROSSINGS_BASE_SQL + f"""
-SELECT location, date, cov AS {COVERAGE}, milestone_reached FROM marked WHERE milestone_reached IS NOT NULL
+CROSSINGS_SQL = f"""
+WITH {CROSSED}
+SELECT x.location, x.date, x.cov AS {COVERAGE}, x.milestone_reached,
+       (SELECT COUNT(*) FROM crossed o
+        WHERE o.location = x.location AND o.threshold = x.threshold AND o.date <= x.date) AS crossing_number
+FROM crossed x
 """
 
 
@@ -197,9 +203,13 @@ def _pivot_dates(spark: SparkSession, root: str) -> DataFrame:
     return pivot_dates(marked, ("location", "continent"), "milestone_reached", "date", MILESTONE_COLUMNS)
 
 
-PIVOT_DATES_SQL = CROSSINGS_BASE_SQL + "\nSELECT location, continent, " + ", ".join(
-    f"MAX(CASE WHEN milestone_reached = '{lab}' THEN date END) AS {col}" for lab, col in MILESTONE_COLUMNS
-) + "\nFROM marked WHERE milestone_reached IS NOT NULL GROUP BY location, continent\n"
+PIVOT_DATES_SQL = f"""
+WITH {CROSSED}
+SELECT location, continent, MAX(date) FILTER (threshold = 10) AS reached_10_percent,
+       MAX(date) FILTER (threshold = 30) AS reached_30_percent, MAX(date) FILTER (threshold = 50) AS reached_50_percent,
+       MAX(date) FILTER (threshold = 70) AS reached_70_percent
+FROM crossed GROUP BY location, continent
+"""
 
 
 def _joined(spark: SparkSession, root: str) -> DataFrame:
@@ -248,11 +258,11 @@ def _phase_cells(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-PHASE_CELLS_SQL = f"""WITH {_JOINED_SQL},
+PHASE_CELLS_SQL = f"""WITH {_JOINED_SQL}, {PHASE_BANDS},
 cells AS (
-    SELECT location, {bands.VACCINATION_PHASES.label_sql(COVERAGE)} AS vaccination_phase, COUNT(*) AS n,
+    SELECT location, vaccination_phase, COUNT(*) AS n,
            CAST(SUM(new_cases) AS BIGINT) AS cases, ROUND(AVG({COVERAGE}), 2) AS mean_coverage
-    FROM joined GROUP BY 1, 2 HAVING COUNT(*) > 7
+    FROM joined JOIN phases ON {COVERAGE} >= lo AND {COVERAGE} < hi GROUP BY 1, 2 HAVING COUNT(*) > 7
 )
 SELECT vaccination_phase, COUNT(DISTINCT location) AS entities, CAST(SUM(n) AS BIGINT) AS rows_in_cells,
        CAST(SUM(cases) AS BIGINT) AS cases, ROUND(MAX(mean_coverage), 2) AS max_entity_coverage
@@ -261,13 +271,21 @@ FROM cells GROUP BY vaccination_phase
 
 
 def _duplicate_keys(spark: SparkSession, root: str) -> DataFrame:
-    return duplicate_keys(deaths_panel(spark, root)).unionByName(duplicate_keys(vax_panel(spark, root)))
+    """Customers with several orders on a day: keys that do repeat, checked beside the panels', which do not."""
+    orders = read_table(spark, root, "orders").select(
+        F.col("o_custkey").cast("string").alias("location"), F.to_date("o_orderdate").alias("date")
+    )
+    panels = duplicate_keys(deaths_panel(spark, root)).unionByName(duplicate_keys(vax_panel(spark, root)))
+    return duplicate_keys(orders).unionByName(panels)
 
 
 DUPLICATE_KEYS_SQL = """
-SELECT location, date, COUNT(*) AS copies FROM deaths_panel GROUP BY location, date HAVING COUNT(*) > 1
-UNION ALL
-SELECT location, date, COUNT(*) AS copies FROM vax_panel GROUP BY location, date HAVING COUNT(*) > 1
+WITH every AS (
+    SELECT 'o' AS t, CAST(o_custkey AS VARCHAR) AS location, CAST(o_orderdate AS DATE) AS date FROM orders
+    UNION ALL SELECT 'd', location, date FROM deaths_panel
+    UNION ALL SELECT 'v', location, date FROM vax_panel
+)
+SELECT location, date, COUNT(*) AS copies FROM every GROUP BY t, location, date HAVING COUNT(*) > 1
 """
 
 
@@ -281,7 +299,7 @@ def _global_row_number(spark: SparkSession, root: str) -> DataFrame:
 GLOBAL_ROW_NUMBER_SQL = f"""
 SELECT location, date, new_cases,
        ROW_NUMBER() OVER (ORDER BY new_cases DESC, location, date) AS position
-FROM deaths_panel WHERE {NN} AND new_cases IS NOT NULL
+FROM deaths_panel WHERE continent IS NOT NULL AND new_cases IS NOT NULL
 """
 
 
@@ -323,7 +341,7 @@ SELECT continent, CAST(year(date) AS INTEGER) AS year, COUNT(*) AS row_count, CO
        MIN(new_deaths) AS min_deaths, MAX(new_deaths) AS max_deaths,
        ROUND(STDDEV_POP(new_cases), 2) AS std_pop_cases, ROUND(STDDEV_SAMP(new_cases), 2) AS std_samp_cases,
        MAX(CASE WHEN new_deaths > 0 THEN date END) AS last_death_day
-FROM deaths_panel WHERE {NN} AND date >= DATE '1996-01-01'
+FROM deaths_panel WHERE continent IS NOT NULL AND date >= DATE '1996-01-01'
 GROUP BY continent, year(date)
 HAVING COUNT(new_cases) > 100
 """
@@ -354,7 +372,7 @@ SELECT location, date, new_deaths,
        ROW_NUMBER() OVER (PARTITION BY location ORDER BY date DESC) AS recency,
        MAX(new_deaths) OVER (PARTITION BY location) AS entity_max_deaths,
        MIN(date) OVER (PARTITION BY location) AS first_report
-FROM deaths_panel WHERE {NN} AND new_deaths IS NOT NULL
+FROM deaths_panel WHERE continent IS NOT NULL AND new_deaths IS NOT NULL
 """
 
 
@@ -378,10 +396,10 @@ DATE_FILTER_UNION_SQL = f"""
 SELECT measure, location, date, amount, CAST(date_diff('day', DATE '2001-01-01', date) AS BIGINT) AS days_after_cutoff
 FROM (
     SELECT 'cases' AS measure, location, date, new_cases AS amount
-    FROM deaths_panel WHERE {NN} AND date >= DATE '2001-01-01' AND new_cases > 0
+    FROM deaths_panel WHERE continent IS NOT NULL AND date >= DATE '2001-01-01' AND new_cases > 0
     UNION ALL
     SELECT 'vaccinations', location, date, new_vaccinations
-    FROM vax_panel WHERE {NN} AND date >= DATE '2001-01-01' AND new_vaccinations > 0
+    FROM vax_panel WHERE continent IS NOT NULL AND date >= DATE '2001-01-01' AND new_vaccinations > 0
 ) t
 """
 

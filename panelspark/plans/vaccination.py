@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelspark.functions import bands
-from panelspark.functions.ratios import mean_of_rounded, pct_ratio
+from panelspark.functions.ratios import mean_of_decimals, mean_of_rounded, pct_ratio
 from panelspark.operators.joins import panel_join
 from panelspark.operators.latest import latest_per_entity, rows_at_entity_latest
 from panelspark.operators.milestones import crossings, pivot_dates
@@ -52,9 +52,7 @@ def phase_effectiveness(
     with 7-row means (7-day means with ``by_days``); per (entity, phase) with
     more than ``min_rows`` rows, then per phase.
 
-    Both sides are filtered before the join (the filters reach the scans) and
-    hash-partitioned on the entity, so the join and the per-entity window
-    share one shuffle.
+    Both sides are filtered before the join; how to join is left to Spark.
     """
     e, d = spec.entity, spec.date
     v = grouped_rows(vax, spec).where(F.col(COVERAGE).isNotNull()).select(e, spec.group, d, COVERAGE)
@@ -134,11 +132,17 @@ def level_outcomes(
     min_rows: int = 14,
     banding: bands.Banding = bands.VACCINATION_LEVELS,
     by_days: bool = False,
+    with_corr: bool = False,
     spec: PanelSpec = DEFAULT,
 ) -> DataFrame:
     """Join the panels, band coverage into levels, smooth the death rate
     per million with a 14-row mean (14-day mean with ``by_days``); per
-    (entity, level) with more than ``min_rows`` rows, then per level."""
+    (entity, level) with more than ``min_rows`` rows, then per level.
+
+    ``with_corr`` adds the mean over entities of the Pearson correlation of
+    coverage and the smoothed death rate inside the level."""
+    cell_corr = [F.round(F.corr(COVERAGE, "deaths_14day_avg"), 3).alias("coverage_deaths_corr")] if with_corr else []
+    level_corr = [F.round(F.avg("coverage_deaths_corr"), 3).alias("avg_coverage_deaths_corr")] if with_corr else []
     e, d = spec.entity, spec.date
     cov = F.col(COVERAGE)
     v = grouped_rows(vax, spec).where(cov.isNotNull() & (cov > 0)).select(e, d, COVERAGE)
@@ -162,6 +166,7 @@ def level_outcomes(
             F.round(F.max(COVERAGE), 1).alias("max_vaccination_rate"),
             F.round(F.min("deaths_14day_avg"), 1).alias("min_death_rate"),
             F.round(F.max("deaths_14day_avg"), 1).alias("max_death_rate"),
+            *cell_corr,
         ],
         stage2=[
             F.count_distinct(e).alias("countries_count"),
@@ -170,6 +175,7 @@ def level_outcomes(
             mean_of_rounded("max_vaccination_rate", 1).alias("avg_max_vaccination"),
             mean_of_rounded("min_death_rate", 1).alias("avg_min_death_rate"),
             mean_of_rounded("max_death_rate", 1).alias("avg_max_death_rate"),
+            *level_corr,
         ],
         min_rows=min_rows,
         entity_keys=(e,),
@@ -186,8 +192,6 @@ def booster_outcomes(
     """Join the panels, band booster coverage into levels and compute the
     booster uptake; per (entity, group, level) with more than ``min_rows``
     rows, then per level. A NULL booster coverage falls in the lowest level.
-
-    No window follows the join, so Spark picks the join strategy freely.
     """
     e, d = spec.entity, spec.date
     pfv = F.col("people_fully_vaccinated")
@@ -197,7 +201,7 @@ def booster_outcomes(
         .select(e, spec.group, d, "total_boosters", "total_boosters_per_hundred", "people_fully_vaccinated")
     )
     o = grouped_rows(deaths, spec).select(e, d, "new_cases", "new_deaths")
-    rows = panel_join(v, o, (e, d), co_partition_on=None).select(
+    rows = panel_join(v, o, (e, d)).select(
         e,
         spec.group,
         "total_boosters_per_hundred",
@@ -237,7 +241,7 @@ def inequality(
     development index; coverage statistics per (group, band).
 
     The latest date is taken per entity over all rows with coverage reported
-    (a per-entity ``max`` window, one pass); rows at that date are then kept
+    (``rank() = 1`` by date, one pass); rows at that date are then kept
     only if the group and the index are present. ``countries_count`` counts
     rows, which equals entities when the panel key is unique.
     """
@@ -257,7 +261,7 @@ def inequality(
             F.round(F.max(COVERAGE), 1).alias("max_vaccination_rate"),
             F.round(std(COVERAGE), 1).alias("vaccination_std_dev"),
             F.round(F.avg("gdp_per_capita"), 0).alias("avg_gdp_per_capita"),
-            mean_of_rounded(hdi, 3).alias("avg_hdi"),
+            mean_of_decimals(hdi, 3).alias("avg_hdi"),
         )
         .orderBy(F.col(spec.group), banding.ordinal("development_level"))
     )

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Settings the jobs are written against. AQE re-plans joins and coalesces
@@ -30,6 +27,7 @@ def build_session(
     shuffle_partitions: int | None = None,
     app_name: str = "panelspark",
     extra: dict[str, str] | None = None,
+    checkpoint_dir: str | None = None,
 ) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -42,27 +40,21 @@ def build_session(
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    if checkpoint_dir and not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(checkpoint_dir)
     return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder the cluster names.
+    """The shared checkpoint folder that the cluster names in ``spark.checkpoint.dir``.
 
-    On a cluster ``spark.checkpoint.dir`` points at shared storage and is used
-    as is; a cluster without it is an error (a machine-local folder would not
-    survive the loss of the executor that wrote it). Only local runs and tests
-    without the setting get a temporary folder of their own.
+    The library never makes up a folder: one on a single machine would not
+    survive the loss of the executor that wrote it. Local runs name their own
+    (``build_session(checkpoint_dir=...)``, the tests' fixture).
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = spark.sparkContext.getCheckpointDir()
+    current = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError(
-                "spark.checkpoint.dir is not set: name a shared folder (HDFS, object store) for checkpoints"
-            )
-        current = tempfile.mkdtemp(prefix="panelspark-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        raise RuntimeError("spark.checkpoint.dir is not set: name a folder that all executors share")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(current)
     return current

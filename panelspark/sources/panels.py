@@ -17,7 +17,7 @@ are offered:
     The number of entities grows with the scale factor (1,000 at sf0.1).
 
 Each panel is dense: every entity has one row per calendar day from the first
-to the last order date, and days without activity hold NULL measurements.
+to the last date of orders and shipments, and days without activity hold NULL measurements.
 The outcomes panel also carries one aggregate row per region and day with a
 NULL group, the way public country-level panels carry continent totals.
 
@@ -30,17 +30,15 @@ Scale notes
 * The join to customer/supplier is an equi-join whose strategy Spark picks
   from measured sizes (broadcast under ``autoBroadcastJoinThreshold``,
   sort-merge above it, with AQE splitting skewed partitions of a hot key).
-* The calendar is generated per entity with ``sequence`` + ``explode`` from
-  two scalar subqueries (merged into one scan by Catalyst) and folded into the
-  same aggregate as the facts (``_densify``); no cross join, no calendar join.
+* Only days with facts, and one first day per entity, go through the two
+  shuffles, of the aggregate on (k, date) and of the windows on k. The other
+  days are generated after them, from each row to the entity's next one.
 * The running totals are windows partitioned by entity; the panel key is
   unique, so one window partition holds at most one row per calendar day.
 """
 
 from __future__ import annotations
 
-import functools
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -59,27 +57,6 @@ VAX_COLUMNS = (
 )
 
 
-def _per_session(build):
-    """Reuse one lazy panel DataFrame per (session, root, grain).
-
-    Only the logical plan is shared: every action still derives the panel from
-    the base tables (nothing is cached or persisted). Constructing the plan
-    costs the driver a few hundred py4j round trips, which would otherwise be
-    paid again by every job.
-    """
-    plans: dict = {}
-
-    @functools.wraps(build)
-    def wrapper(spark: SparkSession, root: str, grain: str = "nation") -> DataFrame:
-        key = (id(spark), root, grain)
-        hit = plans.get(key)
-        if hit is None or hit[0] is not spark:
-            hit = plans[key] = (spark, build(spark, root, grain))
-        return hit[1]
-
-    return wrapper
-
-
 GRAINS = ("nation", "supplier")
 
 
@@ -116,31 +93,49 @@ def _order_days(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def _densify(
-    spark: SparkSession, root: str, grain: str, facts: DataFrame, measures: tuple[str, ...]
+def calendar(spark: SparkSession, root: str) -> tuple[Column, Column]:
+    """First and last day of the panels: those of orders and shipments together.
+
+    Scalar subqueries over one date column of each table."""
+    ordered = read_table(spark, root, "orders").select(F.to_date("o_orderdate").alias("day"))
+    shipped = read_table(spark, root, "lineitem").select(F.to_date("l_shipdate").alias("day"))
+    ends = [t.agg(F.min("day").alias("first"), F.max("day").alias("last")) for t in (ordered, shipped)]
+    both = ends[0].unionByName(ends[1])
+    return both.select(F.min("first")).scalar(), both.select(F.max("last")).scalar()
+
+
+def _reported(
+    spark: SparkSession, root: str, grain: str, facts: DataFrame, measures: tuple[str, ...], first: Column
 ) -> DataFrame:
-    """Daily sums of ``measures`` per entity ``k``, one row per entity and
-    calendar day (first to last order date), NULL on days without facts.
-
-    The calendar rows (generated per nation with ``sequence`` + ``explode``
-    from two scalar subqueries, merged into one scan by Catalyst) are unioned
-    with the fact rows and summed in the same grouped aggregate: the partial
-    aggregation still runs map-side before the single shuffle on (k, date), and
-    no join between the calendar and the facts is needed. Facts outside the
-    calendar or of unknown entities are dropped.
+    """Daily sums of ``measures`` per entity: one row for each day with facts, and
+    one for the first day of the calendar. Facts of unknown entities are dropped.
+
+    The first days, a row per entity, are the only rows that are added before
+    the shuffles; the other days without facts are filled in by ``_every_day``.
     """
-    days = _order_days(spark, root)
-    first = days.select(F.min("day")).scalar()
-    last = days.select(F.max("day")).scalar()
     ent = entities(spark, root, grain)
-    grid = ent.select("k", F.explode(F.sequence(first, last)).alias("date"))
-    rows = facts.where(F.col("date").between(first, last)).unionByName(grid, allowMissingColumns=True)
+    seeds = ent.select("k", first.alias("date"))
+    rows = facts.where(F.col("date").isNotNull()).unionByName(seeds, allowMissingColumns=True)
     daily = rows.groupBy("k", "date").agg(*[F.sum(m).alias(m) for m in measures])
     return daily.join(ent, "k")
 
 
+def _every_day(days: DataFrame, measures: tuple[str, ...], last: Column) -> DataFrame:
+    """Fills in the days up to the entity's next row (or the calendar's end): the
+    measures of a day without facts are NULL, all other columns go on as they were."""
+    following = F.lead("date").over(Window.partitionBy("k").orderBy("date"))
+    filled = days.withColumn("until", F.coalesce(F.date_sub(following, 1), last)).withColumn(
+        "day", F.explode(F.sequence("date", "until"))
+    )
+    own = F.col("day") == F.col("date")
+    others = [c for c in days.columns if c not in (*measures, "date")]
+    return filled.select(
+        *others, F.col("day").alias("date"), *[F.when(own, F.col(m)).alias(m) for m in measures]
+    )
+
+
 def _running(col: str) -> Column:
-    w = Window.partitionBy("location").orderBy("date").rowsBetween(Window.unboundedPreceding, 0)
+    w = Window.partitionBy("k").orderBy("date").rowsBetween(Window.unboundedPreceding, 0)
     return F.sum(col).over(w)
 
 
@@ -168,7 +163,6 @@ def _outcome_facts(spark: SparkSession, root: str, grain: str) -> DataFrame:
     )
 
 
-@_per_session
 def deaths_panel(spark: SparkSession, root: str, grain: str = "nation") -> DataFrame:
     """The outcomes panel (see ``DEATHS_COLUMNS``)."""
     facts = _outcome_facts(spark, root, grain)
@@ -177,16 +171,16 @@ def deaths_panel(spark: SparkSession, root: str, grain: str = "nation") -> DataF
         F.lit(1000000) * (k + 1)
         + F.when(k % 5 == 0, F.lit(1000) * (F.year("date") - 1995)).otherwise(F.lit(0))
     ).cast("long")
-    nations = (
-        _densify(spark, root, grain, facts, ("new_cases", "new_deaths"))
-        .select(
-            "continent", "location", "date",
-            population.alias("population"),
-            _running("new_cases").alias("total_cases"),
-            "new_cases",
-            _running("new_deaths").alias("total_deaths"),
-            "new_deaths",
-        )
+    first, last = calendar(spark, root)
+    measures = ("new_cases", "new_deaths")
+    reported = _reported(spark, root, grain, facts, measures, first).select(
+        "k", "continent", "location", "date", *measures,
+        _running("new_cases").alias("total_cases"),
+        _running("new_deaths").alias("total_deaths"),
+    )
+    nations = _every_day(reported, measures, last).select(
+        "continent", "location", "date", population.alias("population"),
+        "total_cases", "new_cases", "total_deaths", "new_deaths",
     )
     regions = nations.groupBy(F.col("continent").alias("location"), "date").agg(
         F.sum("population").alias("population"),
@@ -202,7 +196,6 @@ def deaths_panel(spark: SparkSession, root: str, grain: str = "nation") -> DataF
     )
 
 
-@_per_session
 def vax_panel(spark: SparkSession, root: str, grain: str = "nation") -> DataFrame:
     """The coverage panel (see ``VAX_COLUMNS``)."""
     lineitem = read_table(spark, root, "lineitem").select(
@@ -222,20 +215,21 @@ def vax_panel(spark: SparkSession, root: str, grain: str = "nation") -> DataFram
         F.when(flag == "N", qty).otherwise(F.lit(0)).alias("f"),
         F.when(flag == "R", qty).otherwise(F.lit(0)).alias("b"),
     )
-    whole = Window.partitionBy("location")
+    whole = Window.partitionBy("k")
     k = _profile_key(F.col("k"))
     reported = F.col("q").isNotNull()
     rf, rb, tf = F.col("rf"), F.col("rb"), F.col("tf")
     scale = F.lit(40) + F.lit(2) * k
+    first, last = calendar(spark, root)
+    running = _reported(spark, root, grain, facts, ("q", "f", "b"), first).select(
+        "k", "continent", "location", "date", "q",
+        _running("q").alias("rq"),
+        _running("f").alias("rf"),
+        _running("b").alias("rb"),
+        F.sum("f").over(whole).alias("tf"),
+    )
     return (
-        _densify(spark, root, grain, facts, ("q", "f", "b"))
-        .select(
-            "k", "continent", "location", "date", "q",
-            _running("q").alias("rq"),
-            _running("f").alias("rf"),
-            _running("b").alias("rb"),
-            F.sum("f").over(whole).alias("tf"),
-        )
+        _every_day(running, ("q",), last)
         .select(
             "continent", "location", "date",
             (F.lit(1000000) * (k + 1)).cast("long").alias("population"),

@@ -25,17 +25,3 @@ def test_every_query_has_an_oracle():
 def test_query_matches_oracle(spark, duck_oracle, query):
     result = compare(query.name, query.build(spark, SF_ORACLE), duck_oracle, query.oracle())
     assert result.ok, result.problems
-
-
-def test_entity_rankings_distributed_path_matches_oracle(spark, duck_oracle):
-    """Force the range-partitioned ranking (no single-task window) and check it
-    gives the same result as the oracle's ROW_NUMBER."""
-    from panelspark.oracle import jobs_sql
-    from panelspark.plans.global_analysis import entity_rankings
-    from panelspark.sources.panels import deaths_panel
-
-    df = entity_rankings(deaths_panel(spark, SF_ORACLE), single_task_rows=0)
-    text = df._jdf.queryExecution().optimizedPlan().toString()
-    assert "row_number()" not in text.lower()
-    result = compare("entity_rankings_distributed", df, duck_oracle, with_panels(jobs_sql.ENTITY_RANKINGS))
-    assert result.ok, result.problems
