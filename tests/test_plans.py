@@ -3,10 +3,11 @@
 import re
 
 import pytest
-
 from conftest import SF_SMALL
+from pyspark.sql import functions as F
 
 from panelspark import catalog
+from panelspark.operators.joins import panel_join
 from panelspark.plans import exploration as ex
 from panelspark.plans import vaccination as vx
 from panelspark.sources.panels import deaths_panel, vax_panel
@@ -39,21 +40,71 @@ def test_scans_are_pruned_and_filtered(spark):
         assert unused not in text
 
 
-@pytest.mark.parametrize("query", catalog.JOBS, ids=[q.name for q in catalog.JOBS])
-def test_no_python_udf_or_cross_join_in_any_job(spark, query):
+# A numbering of all rows has to fix the partitions before it counts them.
+EAGER = {"global_row_number"}
+QUERIES = catalog.all_queries()
+
+
+@pytest.mark.parametrize("query", QUERIES, ids=[q.name for q in QUERIES])
+def test_no_python_udf_or_cross_join_and_no_job_at_build(spark, query):
+    spark.sparkContext.setJobGroup(query.name, "build")
     text = plan_text(query.build(spark, SF_SMALL))
+    tracker = spark.sparkContext.statusTracker()
+    jobs = [tracker.getJobInfo(i) for i in tracker.getJobIdsForGroup(query.name)]
+    stages = [tracker.getStageInfo(i) for job in jobs if job for i in job.stageIds]
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    # reading the schema of a Parquet folder is a job of Spark's own
+    assert query.name in EAGER or all(s.name.startswith("parquet at") for s in stages if s)
     for node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF"):
         assert node not in text
     for node in ("CartesianProduct", "BroadcastNestedLoopJoin"):
         assert node not in text
 
 
-def test_panel_join_then_window_shuffles_once_per_side(spark):
-    df = vx.phase_effectiveness(vax_panel(spark, SF_SMALL), deaths_panel(spark, SF_SMALL))
-    df.collect()
-    final = plan_text(df).split("== Initial Plan ==")[0]
-    window = final.index("Window [avg(new_cases")
-    join = final.index("Join", window)
-    # The rolling window reads the join output directly: the join runs on the
-    # hash(location) partitioning, so no exchange sits between the two.
-    assert "Exchange" not in final[window:join]
+@pytest.mark.parametrize("build", [deaths_panel, vax_panel])
+@pytest.mark.parametrize("grain", ["nation", "supplier"])
+def test_panel_fills_days_after_its_shuffles(spark, build, grain):
+    panel = build(spark, SF_SMALL, grain).where("continent is not null")
+    text = plan_text(panel)
+    spine = text[: text.index("Subqueries")] if "Subqueries" in text else text
+    filled = [m.start() for m in re.finditer(r"Generate explode\(sequence", spine)]
+    assert len(filled) == 1
+    # nothing is shuffled above the generated days (a plan is printed from the top)
+    assert "Exchange" not in spine[: filled[0]]
+    assert spine.count("Exchange hashpartitioning") <= 4  # the two full ones, and small sides of joins
+
+
+def test_inequality_keeps_only_last_rows_before_the_shuffle(spark):
+    assert plan_text(vx.inequality(vax_panel(spark, SF_SMALL))).count("WindowGroupLimit") >= 2
+
+
+def test_panel_join_leaves_the_plan_to_spark_unless_asked(spark):
+    v, d = vax_panel(spark, SF_SMALL), deaths_panel(spark, SF_SMALL)
+    free = panel_join(v, d.drop("continent", "population"))._jdf.queryExecution().optimizedPlan().toString()
+    asked = panel_join(v, d.drop("continent", "population"), co_partition_on="location")
+    assert "RepartitionByExpression" not in free
+    assert asked._jdf.queryExecution().optimizedPlan().toString().count("RepartitionByExpression") == 2
+
+
+def test_hot_entity_is_split_in_a_panel_join(spark):
+    """One entity with half of the rows: AQE splits its partition."""
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.enabled")
+    before = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k, v in zip(keys, ("-1", "8k", "4k", "false"), strict=True):
+            spark.conf.set(k, v)
+        location = F.when(F.col("id") < 20000, F.lit("hot")).otherwise(F.concat(F.lit("e"), F.col("id") % 200))
+        left = spark.range(0, 40000, 1, 8).select(
+            location.alias("location"), F.lit(1).alias("date"), F.sha2(F.col("id").cast("string"), 256).alias("x")
+        )
+        right = spark.range(200).select(
+            F.when(F.col("id") == 0, "hot").otherwise(F.concat(F.lit("e"), "id")).alias("location"), F.lit(1).alias("date")
+        )
+        joined = panel_join(left, right, keys=("location", "date"))
+        rows = joined.collect()
+        assert len(rows) > 20000
+        assert "skew=true" in plan_text(joined).split("== Initial Plan ==")[0]
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

@@ -223,3 +223,43 @@ def test_mean_of_rounded_resolves_exact_ties_half_up(spark):
     assert df.agg(mean_of_rounded("x", 1).alias("m")).first().m == 34.5
     days = spark.createDataFrame([(d,) for d in [123] * 11 + [124] * 9], "d long")  # mean 123.45
     assert days.agg(mean_of_rounded("d", 1).alias("m")).first().m == 123.5
+
+
+def test_index_is_averaged_before_it_is_rounded(spark):
+    cov = "people_fully_vaccinated_per_hundred"
+    rows = [{"location": x, "date": day(0), cov: 10.0, "human_development_index": h}
+            for x, h in (("A", 0.8004), ("B", 0.8004), ("C", 0.8008))]
+    assert vx.inequality(vax(spark, rows)).first().avg_hdi == 0.801
+
+
+def test_positions_match_row_numbers(spark):
+    import random
+
+    from pyspark.sql import Window
+
+    from panelspark.operators import positions_of
+
+    rnd = random.Random(11)
+    data = [(f"e{i:04d}", rnd.randint(0, 9), rnd.choice([None, 0.5, 1.5, 2.5])) for i in range(500)]
+    df = spark.createDataFrame(data, "name string, a long, b double").repartition(7)
+    chosen = df.where(F.col("name").isin("e0000", "e0123", "e0499", "e0250"))
+    got = positions_of(chosen, df, "name", [("by_a", "a"), ("by_b", "b")])
+    numbered = df.select(
+        "name",
+        *[F.row_number().over(Window.orderBy(F.col(c).desc_nulls_last(), "name")).alias(f"by_{c}") for c in "ab"],
+    ).join(chosen.select("name"), "name")
+    pick = lambda d: sorted((r[0], r.by_a, r.by_b) for r in d.select(F.col("name"), "by_a", "by_b").collect())
+    assert [tuple(r) for r in pick(got)] == [tuple(r) for r in pick(numbered)]
+    assert positions_of(chosen.limit(0), df, "name", [("by_a", "a")]).count() == 0
+
+
+def test_latest_aggregates_leave_out_groups_without_the_last_day(spark):
+    from panelspark.operators import aggregate_latest
+
+    rows = [{"location": "A", "date": day(0), "continent": "X", "new_cases": 1},
+            {"location": "A", "date": day(1), "continent": "X", "new_cases": 2},
+            {"location": "B", "date": day(0), "continent": "Y", "new_cases": 4}]
+    df = deaths(spark, rows)
+    total = [F.sum("new_cases").alias("c"), F.count("*").alias("n")]
+    assert [tuple(r) for r in aggregate_latest(df, total, by=["continent"]).collect()] == [("X", 2, 1)]
+    assert tuple(aggregate_latest(df, total).first()) == (2, 1)
