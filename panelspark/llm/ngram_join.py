@@ -9,7 +9,7 @@ different hashes.
 
 Steps, none of which pairs up the members of a group:
 
-1. One pass gives every set's size, a 128-bit signature, a bitmap, and counts of
+1. One pass gives every set's size, a 128-bit signature, and counts of
    tokens. The counts (all documents; tokens seen fewer than ``LOCAL_COUNT``
    times in a task's buffer are left out) only decide the orders, which are right
    whatever they are: the ``RANKED`` most frequent tokens are sent to the
@@ -24,9 +24,9 @@ Steps, none of which pairs up the members of a group:
    left; they pass the same filters and are verified. No link between
    different components is lost, and those inside one change nothing.
 
-Filters before verification: sizes; the bitmaps' Hamming distance, which is at
-most that of the sets; prefixes under the other orders. The sets are read from
-the texts again, for the documents of remaining pairs only.
+Filters before verification: sizes; the number of prefix tokens shared under the
+first order (``_enough``); common prefix tokens under the other orders. The sets are
+read from the texts again, for the documents of remaining pairs only.
 
 Shingles are 64-bit hashes, equality of sets is that of 128-bit signatures.
 
@@ -41,12 +41,13 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelspark.llm.common import connected_components, saved
+from panelspark.llm.common import connected_components, saved, stored
 
 SHINGLE, PERCENT = 4, 85
 #: Seeds of the orders; the first one makes the candidates.
@@ -55,7 +56,8 @@ ORDERS = (11, 22, 33)
 RANKED, LOCAL_COUNT, BUFFER = 1 << 18, 3, 2 << 20
 #: Parts that a frequent token's rows are dealt to.
 SALTS = 64
-BITMAP_BITS = 2048
+#: Size of the table that picks the texts to read again.
+FILTER_BITS = 1 << 25
 #: Word hashes a worker keeps.
 CACHE_WORDS = 400_000
 
@@ -126,11 +128,11 @@ def _signed(x: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(x).view(np.int64)
 
 
-_PROFILE = "token long, n long, doc_id long, s1 long, s2 long, bits array<long>"
+_PROFILE = "token long, n long, doc_id long, s1 long, s2 long"
 
 
 def _profile(size: int):
-    """Rows of two kinds: (token, n) of tokens counted in a buffer; (n, doc_id, s1, s2, bits) of documents."""
+    """Rows of two kinds: (token, n) of tokens counted in a buffer; (n, doc_id, s1, s2) of documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -142,22 +144,18 @@ def _profile(size: int):
             held.clear()
             rows = int(often.sum())
             return pa.RecordBatch.from_arrays(
-                [pa.array(_signed(tokens[often])), pa.array(n[often]), *[pa.nulls(rows, pa.int64())] * 3,
-                 pa.nulls(rows, pa.list_(pa.int64()))],
-                names=["token", "n", "doc_id", "s1", "s2", "bits"],
+                [pa.array(_signed(tokens[often])), pa.array(n[often]), *[pa.nulls(rows, pa.int64())] * 3],
+                names=["token", "n", "doc_id", "s1", "s2"],
             )
 
         for batch in batches:
             texts = batch.column(1)
-            n, s1, s2, bits = [], [], [], []
+            n, s1, s2 = [], [], []
             for i in range(batch.num_rows):
                 tokens = shingles(texts[i].as_py() or "", size)
                 n.append(len(tokens))
                 s1.append(int(_signed(np.asarray([mixed(tokens, 5).sum(dtype=np.uint64)]))[0]))
                 s2.append(int(_signed(np.asarray([mixed(tokens, 6).sum(dtype=np.uint64)]))[0]))
-                flags = np.zeros(BITMAP_BITS, dtype=np.uint8)
-                flags[(tokens >> np.uint64(53)).astype(np.int64)] = 1
-                bits.append(np.packbits(flags).view(np.int64))
                 held.append(tokens)
                 count += len(tokens)
                 if count >= BUFFER:
@@ -165,8 +163,8 @@ def _profile(size: int):
                     count = 0
             yield pa.RecordBatch.from_arrays(
                 [pa.nulls(len(n), pa.int64()), pa.array(n, pa.int64()), batch.column(0), pa.array(s1, pa.int64()),
-                 pa.array(s2, pa.int64()), pa.array(bits, pa.list_(pa.int64()))],
-                names=["token", "n", "doc_id", "s1", "s2", "bits"],
+                 pa.array(s2, pa.int64())],
+                names=["token", "n", "doc_id", "s1", "s2"],
             )
         if held:
             yield counted()
@@ -225,32 +223,57 @@ def _sets(orders, size: int, percent: int):
     return run, "node long, tokens array<long>, " + ", ".join(f"{n} array<long>" for n in names)
 
 
-def _sizes_fit(a: Column, b: Column, percent: int) -> Column:
-    return F.least(a, b) * 100 >= F.greatest(a, b) * percent
+def _enough(pairs: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) that share enough prefix tokens under the first order for a link.
 
-
-def _bitmaps_fit(pairs: DataFrame, profiles: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) whose sizes and bitmaps allow a link."""
-    side = lambda x: profiles.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("bits").alias(f"bits_{x}"))
-    apart = F.aggregate(
-        F.zip_with("bits_a", "bits_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x
-    )
-    # a link leaves at most this share of both sizes outside of the intersection
-    allowed = (F.col("n_a") + F.col("n_b")) * (100 - percent)
+    ``pairs``: a row per shared token, with the sizes n_a and n_b. Of two sets, let x be the one
+    whose prefix ends first in the order. All common tokens up to that end are in both prefixes; the
+    others are among the tokens of x behind its prefix. So the intersection is at most
+    the number of shared prefix tokens plus the longer of both rests.
+    """
+    least = lambda n: F.ceil(n * percent / 100)
+    needed = F.ceil((F.col("n_a") + F.col("n_b")) * percent / (100 + percent))
+    rest = F.greatest(least(F.col("n_a")), least(F.col("n_b"))) - 1
+    sizes_fit = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
     return (
-        pairs.join(side("a"), "a")
-        .join(side("b"), "b")
-        .where(_sizes_fit(F.col("n_a"), F.col("n_b"), percent) & (apart * (100 + percent) <= allowed))
-        .select("a", "b")
-        .distinct()
+        pairs.where(sizes_fit).groupBy("a", "b", "n_a", "n_b").agg(F.count("*").alias("shared"))
+        .where(F.col("shared") + rest >= needed).select("a", "b").distinct()
     )
 
 
+def _among(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose id is in ``ids`` (column id of both).
+
+    The semi join would shuffle every text, so texts are dropped before it by a
+    table of ``FILTER_BITS`` bits, one set for the hash of each wanted id. Its
+    size is the same for any number of ids; one that is too full only lets more texts through.
+    """
+    spark = docs.sparkSession
+    place = F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS))
+    words = (
+        ids.select(place.alias("p"))
+        .groupBy(F.expr("p div 64").alias("word"))
+        .agg(F.bit_or(F.expr("shiftleft(1L, cast(p % 64 as int))")).alias("bits"))
+        .toArrow()
+    )  # at most FILTER_BITS / 64 rows
+    table = np.zeros(FILTER_BITS // 64, dtype=np.uint64)
+    table[words.column("word").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
+    wanted = spark.sparkContext.broadcast(table)
+
+    @F.pandas_udf("boolean")
+    def may_be_wanted(at: pd.Series) -> pd.Series:
+        p = at.to_numpy().astype(np.uint64)
+        return pd.Series(wanted.value[p >> np.uint64(6)] >> (p & np.uint64(63)) & np.uint64(1) == 1)
+
+    near = docs.where(F.col("id").isNotNull()).withColumn("at", place).where(may_be_wanted("at")).drop("at")
+    return near.join(ids, "id", "left_semi")
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, orders, size: int, percent: int) -> DataFrame:
     """Pairs that share a prefix token under every order and do link."""
     run, schema = _sets(orders, size, percent)
     needed = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    sets = saved(docs.join(needed, "id", "left_semi").select("id", "body").mapInArrow(run, schema))
+    sets = stored(_among(docs, needed).select("id", "body").mapInArrow(run, schema), "shingle-sets")
     side = lambda x: sets.select(*[F.col(c).alias(x if c == "node" else f"{c}_{x}") for c in sets.columns])
     meet = [F.arrays_overlap(f"p{i}_a", f"p{i}_b") for i in range(1, len(ORDERS))]
     shared = F.size(F.array_intersect("tokens_a", "tokens_b"))
@@ -277,7 +300,7 @@ def jaccard_components(
     ``component_id`` is the smallest id reachable by links, the own one included.
     """
     own = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("body"))
-    profile = saved(own.mapInArrow(_profile(shingle), _PROFILE))
+    profile = stored(own.mapInArrow(_profile(shingle), _PROFILE), "shingle-profiles")
     top = (
         profile.where("token is not null").groupBy("token").agg(F.sum("n").alias("n"))
         .orderBy(F.desc("n"), "token").limit(RANKED).toArrow()
@@ -286,27 +309,28 @@ def jaccard_components(
         Orders(top.column("token").to_numpy().view(np.uint64), top.column("n").to_numpy())
     )
 
-    sized = profile.where("token is null and doc_id is not null and n > 0").select("doc_id", "n", "s1", "s2", "bits")
+    sized = profile.where("token is null and doc_id is not null and n > 0").select("doc_id", "n", "s1", "s2")
     classes = sized.groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("node"))
-    members = saved(sized.drop("bits").join(classes, ["s1", "s2", "n"]).select("doc_id", "node", "n").distinct())
-    profiles = sized.join(classes.where("node is not null"), ["s1", "s2", "n"]).where("doc_id = node").select(
-        "node", "n", "bits"
-    )
+    members = stored(sized.join(classes, ["s1", "s2", "n"]).select("doc_id", "node", "n").distinct(), "shingle-members")
 
     salted = F.when(F.col("frequent"), F.pmod(F.xxhash64("doc_id"), F.lit(SALTS))).otherwise(F.lit(0))
     together = Window.partitionBy("token", "salt")
     rows = own.mapInArrow(_prefixes(orders, shingle, percent), "doc_id long, token long, frequent boolean")
-    shared = saved(
+    shared = stored(
         rows.withColumn("salt", salted)
         .withColumn("several", F.min("doc_id").over(together) < F.max("doc_id").over(together))
         .where("several or frequent")
-        .select("token", "doc_id")
+        .select("token", "doc_id"),
+        "prefix-tokens",
     )
-    buckets = saved(shared.join(members, "doc_id").select("token", "node", "n").distinct())
-
-    least = buckets.groupBy("token").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a < z")
-    near = buckets.join(least.select("token", "a"), "token").where("node > a")
-    stars = saved(_bitmaps_fit(near.select("a", F.col("node").alias("b")).distinct(), profiles, percent))
+    buckets = stored(shared.join(members, "doc_id").select("token", "node", "n").distinct(), "prefix-buckets")
+
+    least = buckets.groupBy("token").agg(
+        F.min_by(F.struct(F.col("node").alias("a"), F.col("n").alias("n_a")), "node").alias("first"),
+        F.max("node").alias("z"),
+    ).where("first.a < z")
+    near = buckets.join(least.select("token", "first.*"), "token").where("node > a")
+    stars = stored(_enough(near.select("a", "n_a", F.col("node").alias("b"), F.col("n").alias("n_b")), percent), "star-pairs")
     links = _verified(stars, own, orders, shingle, percent)
 
     settled = saved(connected_components(links))
@@ -321,14 +345,8 @@ def jaccard_components(
     side = lambda x: open_rows.select(
         "token", F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("component").alias(f"c_{x}")
     )
-    rest = (
-        side("a").join(side("b"), "token")
-        .where((F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b")))
-        .where(_sizes_fit(F.col("n_a"), F.col("n_b"), percent))
-        .select("a", "b").distinct()
-        .join(stars, ["a", "b"], "left_anti")
-    )
-    remaining = saved(_bitmaps_fit(rest, profiles, percent))
+    rest = side("a").join(side("b"), "token").where((F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b")))
+    remaining = stored(_enough(rest, percent).join(stars, ["a", "b"], "left_anti"), "other-pairs")
     more = _verified(remaining, own, orders, shingle, percent)
 
     final = connected_components(
