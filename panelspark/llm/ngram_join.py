@@ -20,8 +20,9 @@ Steps, none of which pairs up the members of a group:
    number of pairs that is linear in the prefixes. What passes the filters is
    verified, and linked nodes get a component. That settles groups of copies,
    however large.
-4. Within a token, pairs of different components are the candidates that are
-   left; they pass the same filters and are verified. No link between
+4. Within a token that stands early enough in both prefixes to be the first shared
+   one of a link (``_may_be_first``), pairs of different components are the candidates
+   that are left; they pass the same filters and are verified. No link between
    different components is lost, and those inside one change nothing.
 
 Filters before verification: sizes; the number of prefix tokens shared under the
@@ -116,12 +117,12 @@ class Orders:
         return np.where(self.tokens[at] == tokens, self.classes[at], np.uint64(0))
 
     def prefix(self, tokens: np.ndarray, seed: int, percent: int, classes: np.ndarray | None = None) -> np.ndarray:
+        """The first tokens of the set, in order."""
         size = prefix_size(len(tokens), percent)
-        if size >= len(tokens):
-            return tokens
         classes = self.frequent(tokens) if classes is None else classes
         place = classes << np.uint64(56) | mixed(tokens, seed) >> np.uint64(8)
-        return tokens[np.argpartition(place, size - 1)[:size]]
+        first = np.argpartition(place, size - 1)[:size] if size < len(tokens) else np.arange(len(tokens))
+        return tokens[first[np.argsort(place[first])]]
 
 
 def _signed(x: np.ndarray) -> np.ndarray:
@@ -173,18 +174,18 @@ def _profile(size: int):
 
 
 def _prefixes(orders, size: int, percent: int):
-    """(doc_id, token, frequent) of the prefixes under the first order."""
+    """(doc_id, token, frequent, place) of the prefixes under the first order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1)
-            names, tokens, classes, held = [], [], [], 0
+            names, tokens, classes, places, held = [], [], [], [], 0
 
             def table() -> pa.RecordBatch:
                 return pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(names)), pa.array(_signed(np.concatenate(tokens))),
-                     pa.array(np.concatenate(classes) > 0)],
-                    names=["doc_id", "token", "frequent"],
+                     pa.array(np.concatenate(classes) > 0), pa.array(np.concatenate(places))],
+                    names=["doc_id", "token", "frequent", "place"],
                 )
 
             for i, doc_id in enumerate(ids):
@@ -195,10 +196,11 @@ def _prefixes(orders, size: int, percent: int):
                 tokens.append(first)
                 classes.append(orders.value.frequent(first))
                 names.append(np.full(len(first), doc_id, dtype=np.int64))
+                places.append(np.arange(len(first), dtype=np.int32))
                 held += len(first)
                 if held > 1 << 17:
                     yield table()
-                    names, tokens, classes, held = [], [], [], 0
+                    names, tokens, classes, places, held = [], [], [], [], 0
             if tokens:
                 yield table()
 
@@ -223,6 +225,23 @@ def _sets(orders, size: int, percent: int):
     return run, "node long, tokens array<long>, " + ", ".join(f"{n} array<long>" for n in names)
 
 
+def _sizes_fit(percent: int) -> Column:
+    return F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
+
+
+def _needed(percent: int) -> Column:
+    """Tokens that two sets of these sizes must share to link."""
+    return F.ceil((F.col("n_a") + F.col("n_b")) * percent / (100 + percent))
+
+
+def _may_be_first(percent: int) -> Column:
+    """Whether a shared token, ``p_a`` and ``p_b`` tokens being before it, leaves room for the others.
+
+    Of a pair that links, the row of its first shared token passes.
+    """
+    return F.least(F.col("n_a") - F.col("p_a"), F.col("n_b") - F.col("p_b")) >= _needed(percent)
+
+
 def _enough(pairs: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) that share enough prefix tokens under the first order for a link.
 
@@ -232,12 +251,10 @@ def _enough(pairs: DataFrame, percent: int) -> DataFrame:
     the number of shared prefix tokens plus the longer of both rests.
     """
     least = lambda n: F.ceil(n * percent / 100)
-    needed = F.ceil((F.col("n_a") + F.col("n_b")) * percent / (100 + percent))
     rest = F.greatest(least(F.col("n_a")), least(F.col("n_b"))) - 1
-    sizes_fit = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
     return (
-        pairs.where(sizes_fit).groupBy("a", "b", "n_a", "n_b").agg(F.count("*").alias("shared"))
-        .where(F.col("shared") + rest >= needed).select("a", "b").distinct()
+        pairs.where(_sizes_fit(percent)).groupBy("a", "b", "n_a", "n_b").agg(F.count("*").alias("shared"))
+        .where(F.col("shared") + rest >= _needed(percent)).select("a", "b").distinct()
     )
 
 
@@ -315,15 +332,15 @@ def jaccard_components(
 
     salted = F.when(F.col("frequent"), F.pmod(F.xxhash64("doc_id"), F.lit(SALTS))).otherwise(F.lit(0))
     together = Window.partitionBy("token", "salt")
-    rows = own.mapInArrow(_prefixes(orders, shingle, percent), "doc_id long, token long, frequent boolean")
+    rows = own.mapInArrow(_prefixes(orders, shingle, percent), "doc_id long, token long, frequent boolean, place int")
     shared = stored(
         rows.withColumn("salt", salted)
         .withColumn("several", F.min("doc_id").over(together) < F.max("doc_id").over(together))
         .where("several or frequent")
-        .select("token", "doc_id"),
+        .select("token", "doc_id", "place"),
         "prefix-tokens",
     )
-    buckets = stored(shared.join(members, "doc_id").select("token", "node", "n").distinct(), "prefix-buckets")
+    buckets = stored(shared.join(members, "doc_id").select("token", "node", "n", "place").distinct(), "prefix-buckets")
 
     least = buckets.groupBy("token").agg(
         F.min_by(F.struct(F.col("node").alias("a"), F.col("n").alias("n_a")), "node").alias("first"),
@@ -335,7 +352,7 @@ def jaccard_components(
 
     settled = saved(connected_components(links))
     placed = buckets.join(settled, "node", "left").select(
-        "token", "node", "n", F.coalesce("component", "node").alias("component")
+        "token", "node", "n", "place", F.coalesce("component", "node").alias("component")
     )
     mixed_tokens = (
         placed.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"))
@@ -343,10 +360,14 @@ def jaccard_components(
     )
     open_rows = saved(placed.join(mixed_tokens, "token", "left_semi"))
     side = lambda x: open_rows.select(
-        "token", F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("component").alias(f"c_{x}")
+        "token", F.col("node").alias(x),
+        *[F.col(c).alias(f"{c[0]}_{x}") for c in ("n", "place", "component")],
     )
-    rest = side("a").join(side("b"), "token").where((F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b")))
-    remaining = stored(_enough(rest, percent).join(stars, ["a", "b"], "left_anti"), "other-pairs")
+    others = (F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b"))
+    met = side("a").join(side("b"), "token").where(others & _sizes_fit(percent) & _may_be_first(percent))
+    candidates = stored(met.select("a", "b").distinct().join(stars, ["a", "b"], "left_anti"), "front-pairs")
+    shared_tokens = candidates.join(side("a"), "a").join(side("b"), ["b", "token"])
+    remaining = stored(_enough(shared_tokens.select("a", "b", "n_a", "n_b"), percent), "other-pairs")
     more = _verified(remaining, own, orders, shingle, percent)
 
     final = connected_components(
