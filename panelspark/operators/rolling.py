@@ -12,7 +12,7 @@ is unique, so a window partition holds at most one row per day.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, Window
 from pyspark.sql import functions as F
 
 _FUNCS = {

@@ -7,7 +7,6 @@ from conftest import SF_ORACLE
 
 from panelspark import catalog
 from panelspark.oracle.compare import compare
-from panelspark.oracle.panels_sql import with_panels
 
 QUERIES = catalog.all_queries()
 
