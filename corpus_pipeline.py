@@ -10,8 +10,9 @@ session and reads it back as the next one's input.
                    language has a posterior below one half, go.
 2. line dedup      later repeated runs of lines are cut from the texts; rows
                    that had words and have none left go.
-3. near duplicates of each group of linked documents the one with the smallest
-                   id stays; documents without words stay.
+3. near duplicates of each group of linked documents (Jaccard >= 0.8 of their
+                   5-word shingles) the one with the smallest id stays;
+                   documents without words stay.
 4. source mixing   rows are repeated or left out, as the targets ask.
 5. byte-level BPE  ids of every text, and whether they decode to its bytes.
 
@@ -35,6 +36,8 @@ from panelspark.llm.source_mixing import emit_copies, mix_sources
 
 #: Least posterior of the predicted language.
 LEAST_SCORE = 0.5
+#: Words of a shingle and least Jaccard similarity in percent of near copies; op8 has its own.
+SHINGLE, PERCENT = 5, 80
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,7 +62,7 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = jaccard_components(docs)
+    found = jaccard_components(docs, shingle=SHINGLE, percent=PERCENT)
     stays = F.col("component_id").isNull() | (F.col("doc.doc_id") == F.col("component_id"))
     return found.where(stays).select("doc.*")
 

@@ -1,6 +1,7 @@
 """Every stage of the pipeline against SQL or a plain version, on its own input; edge cases."""
 
 import base64
+import random
 
 import duckdb
 import public_tokenizers as P
@@ -63,6 +64,48 @@ def test_near_duplicates(stages):
     assert sorted(table(stages[2][1])) == sorted(r for r in before if component[r[0]] == r[0])
 
 
+def plain_near_copies(rows, size=5, percent=80):
+    """Links of all pairs, by sets of word tuples, and the smallest id each document reaches."""
+    sets = {}
+    for i, text in rows:
+        words = text.lower().split()
+        width = min(size, len(words))
+        sets[i] = {tuple(words[k : k + width]) for k in range(len(words) - width + 1)} if words else set()
+    links = [(a, b) for a in sets for b in sets
+             if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])]
+    reach = {i: i for i in sets}
+    for _ in sets:
+        for a, b in links:
+            reach[a] = reach[b] = min(reach[a], reach[b])
+    return links, reach
+
+
+def test_near_duplicates_between_the_thresholds(spark):
+    """Copies that only five words and 0.8 link go, those just below 0.8 stay."""
+    rng = random.Random(8)
+    text = lambda n: [f"w{rng.randrange(5000)}" for _ in range(n)]
+    rows = []
+    for i in range(20):
+        base = text(200)
+        rows.append((10 * i, " ".join(base)))
+        for k in range(1, 6):  # k words replaced, far apart: 5 k of 196 shingles differ, of 4 words 4 k of 197
+            copy = list(base)
+            for j in range(k):
+                copy[20 + 40 * j] = f"new{i}x{k}x{j}"
+            rows.append((10 * i + k, " ".join(copy if rng.random() < 0.8 else copy + text(30))))
+    # 5-word shingles 0.814, 4-word ones 0.848: only the stage's rule links them
+    base = text(200)
+    rows += [(900, " ".join(base)), (901, " ".join([*base[:20], "a", *base[21:80], "b", *base[81:140], "c", *base[141:180], "d", *base[181:]]))]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    links, reach = plain_near_copies(rows)
+    assert (900, 901) in links and (900, 901) not in plain_near_copies(rows, 4, 85)[0]
+    assert not set(plain_near_copies(rows, 4, 85)[0]) - set(links)
+    left = {r.doc_id for r in corpus_pipeline.near_duplicate_stage(spark, docs.repartition(4), ROOT).collect()}
+    assert left == {i for i in reach if reach[i] == i}
+    assert left < {i for i, c in plain_components(rows).items() if c == i}
+
+
 def test_mix(stages):
     before = {r[0]: r for r in table(stages[3][0])}
     after = table(stages[3][1])
