@@ -69,6 +69,25 @@ def test_subset_estimate_is_robust(judged):
     assert np.median(d) < R._quantile_4(0.05)
 
 
+def texts(rng, n, mark=""):
+    return " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 9))) + mark for _ in range(n))
+
+
+@pytest.mark.parametrize("share, copies", [(0.28, False), (0.34, True), (0.4, False), (0.4, True)])
+def test_junk_up_to_two_fifths_of_a_group_goes(spark, share, copies):
+    """Junk, each text its own or all copies of one, in a group that is otherwise clean."""
+    rng, n = random.Random(6), 400
+    junk = int(share * n)
+    one = texts(rng, 200, "**")
+    rows = [(i, texts(rng, 200), "en", "a") for i in range(n - junk)]
+    rows += [(1000 + i, one if copies else texts(rng, 200, "**"), "en", "a") for i in range(junk)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {r.doc.doc_id: r for r in R.judge(docs.repartition(4)).collect()}
+    assert not any(r.base_failed for r in got.values())
+    assert not [i for i, r in got.items() if i >= 1000 and r.kept]
+    assert not [i for i, r in got.items() if i < 1000 and not r.kept]
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string")
     assert R.judge(docs).count() == 0
