@@ -27,11 +27,13 @@ reaches the subset's size are then summed, that one in part, so that a class
 of many equal rows adds no more than is missing. So a group of any size is never
 brought together, and nothing depends on the order of rows.
 
+A group of fewer than ``MIN_GROUP`` documents that pass the base rules has no
+estimate of its own. Its documents are judged by the estimate of their language
+over all sources or, where that has too few too, of all documents, however few.
+
 Defined results: a null text has no words and fails the base rules; null
-language and null source are groups of their own; in groups of fewer than
-``MIN_GROUP`` documents that pass the base rules the method has no estimate and
-keeps all of them; an empty table gives an empty result; equal rows are judged
-alike; extra columns are kept in one struct.
+language and null source are groups of their own; an empty table gives an empty
+result; equal rows are judged alike; extra columns are kept in one struct.
 """
 
 from __future__ import annotations
@@ -58,6 +60,9 @@ SYMBOLS = "#*$%&|<>"
 #: Distance classes per power of two, and bins of a statistic per unit.
 CLASSES, BINS = 64, 1024
 
+#: Key of all documents; the others start with "l", "n" or "all of ".
+EVERYTHING = "everything"
+
 _PAIRS = [(i, j) for i in range(4) for j in range(i, 4)]
 
 
@@ -105,10 +110,11 @@ def with_counts(docs: DataFrame, keep: Sequence[str], text_col: str, lang_col: s
             F.coalesce(F.concat(F.lit("l"), F.col(lang_col)), F.lit("n")),
             F.coalesce(F.concat(F.lit("s"), F.col(source_col)), F.lit("n")),
         ).alias("group"),
+        F.concat(F.lit("all of "), F.coalesce(F.concat(F.lit("l"), F.col(lang_col)), F.lit("n"))).alias("lang_group"),
         F.col(text_col).alias("body"),
     )
     doc = rows.schema["doc"].dataType.simpleString()
-    return rows.mapInArrow(_count, f"doc {doc}, group string, " + ", ".join(f"{c} long" for c in COUNTS))
+    return rows.mapInArrow(_count, f"doc {doc}, group string, lang_group string, " + ", ".join(f"{c} long" for c in COUNTS))
 
 
 def _chi_square_4(x: float) -> float:
@@ -151,7 +157,7 @@ def _distance(row: Sequence[Column], weight: Column) -> Column:
 
 
 def _starts(rows: DataFrame) -> DataFrame:
-    """(group, start, center, scatter as 16 numbers) of the two starts, for groups of MIN_GROUP and more."""
+    """(group, start, center, scatter as 16 numbers) of the two starts."""
     bins = (
         rows.select("group", F.posexplode(F.array(*FEATURES)).alias("feature", "x"))
         .groupBy("group", "feature", F.round(F.col("x") * BINS).alias("bin"))
@@ -160,7 +166,6 @@ def _starts(rows: DataFrame) -> DataFrame:
     halves = (
         bins.groupBy("group", "feature")
         .applyInPandas(_shortest_half, "group string, feature int, center double, spread double, n long")
-        .where(F.col("n") >= MIN_GROUP)
         .groupBy("group")
         .agg(F.array_sort(F.collect_list(F.struct("feature", "center", "spread"))).alias("q"), F.max("n").alias("all"))
     )
@@ -172,7 +177,7 @@ def _starts(rows: DataFrame) -> DataFrame:
         F.array(*[variance[i] if i == j else F.lit(0.0) for i in range(4) for j in range(4)]).alias("scatter"),
         "all",
     )
-    plain = _moments(rows.groupBy("group").agg(*_sums()).where(F.col("n") >= MIN_GROUP))
+    plain = _moments(rows.groupBy("group").agg(*_sums()))
     return robust.unionByName(plain.select("group", F.lit(1).alias("start"), "center", "scatter", F.col("n").alias("all")))
 
 
@@ -229,7 +234,7 @@ _ESTIMATE = "group string, start int, center array<double>, inverse array<double
 
 
 def estimates(rows: DataFrame) -> DataFrame:
-    """(group, center, inverse) of each group that is large enough.
+    """(group, center, inverse) of each group.
 
     ``rows``: group, weight ``w`` and the statistics of the documents to judge.
     """
@@ -262,6 +267,17 @@ def estimates(rows: DataFrame) -> DataFrame:
     return current.groupBy("group").agg(best).select("group", "best.center", "best.inverse")
 
 
+def _places(judged: DataFrame) -> DataFrame:
+    """(group, place): the smallest of a group, its language and all documents that has enough to estimate from."""
+    langs = Window.partitionBy("lang_group")
+    place = F.when(F.col("n") >= MIN_GROUP, F.col("group")).when(F.col("n_lang") >= MIN_GROUP, F.col("lang_group"))
+    return (
+        judged.groupBy("group", "lang_group").agg(F.count("*").alias("n"))
+        .withColumn("n_lang", F.sum("n").over(langs))
+        .select("group", place.otherwise(F.lit(EVERYTHING)).alias("place"))
+    )
+
+
 def judge(
     docs: DataFrame,
     *,
@@ -271,9 +287,10 @@ def judge(
     source_col: str = "source",
     tail: float = TAIL,
 ) -> DataFrame:
-    """(doc struct, the counts, base_failed, distance, kept) of every document.
+    """(doc struct, the counts, base_failed, distance, pooled_distance, kept) of every document.
 
-    ``distance`` is null where there is no estimate.
+    Of a document that passes the base rules one distance is not null: ``distance`` where
+    its group has an estimate, ``pooled_distance`` where a larger set's is taken.
     """
     words = F.col("n_words")
     counted = saved(
@@ -285,10 +302,18 @@ def judge(
         .withColumn("x3", F.sqrt(F.try_divide("n_dup_lines", "n_lines")))
         .withColumn("x4", F.sqrt(F.try_divide("n_repeat_words", "n_words")))
     )
-    judged = counted.where(~F.col("base_failed")).select("group", "w", *FEATURES)
-    found = counted.join(estimates(judged), "group", "left")
+    judged = counted.where(~F.col("base_failed")).select("group", "lang_group", "w", *FEATURES)
+    places = saved(_places(judged))
+    members = judged.withColumn("group", F.explode(F.array("group", "lang_group", F.lit(EVERYTHING)))).join(
+        places.select(F.col("place").alias("group")).distinct(), "group", "left_semi"
+    )
+    taken = places.join(estimates(members.drop("lang_group")).withColumnRenamed("group", "place"), "place")
+    found = counted.join(taken, "group", "left")
     distance = F.when(~F.col("base_failed"), _distance([F.col(f) for f in FEATURES], F.sqrt("w")))
-    return found.withColumn("distance", distance).select(
-        "doc", *COUNTS, "base_failed", "distance",
-        (~F.col("base_failed") & (F.coalesce(F.col("distance"), F.lit(0.0)) <= _quantile_4(tail))).alias("kept"),
+    own = F.col("place") == F.col("group")
+    return found.withColumn("any_distance", distance).select(
+        "doc", *COUNTS, "base_failed",
+        F.when(own, F.col("any_distance")).alias("distance"),
+        F.when(~own, F.col("any_distance")).alias("pooled_distance"),
+        (~F.col("base_failed") & (F.coalesce(F.col("any_distance"), F.lit(0.0)) <= _quantile_4(tail))).alias("kept"),
     )

@@ -88,6 +88,19 @@ def test_junk_up_to_two_fifths_of_a_group_goes(spark, share, copies):
     assert not [i for i, r in got.items() if i < 1000 and not r.kept]
 
 
+def test_small_groups_are_judged_by_larger_ones(spark):
+    """Junk in groups of four goes, by the language's documents or by all of them; clean texts stay."""
+    rng = random.Random(7)
+    rows = [(i, texts(rng, 200), "en", f"s{i // 4}") for i in range(60)] + [(60 + i, texts(rng, 200), "de", "s0") for i in range(5)]
+    rows += [(100 + i, texts(rng, 200, "**"), *g) for i, g in enumerate([("en", "s0"), ("en", "s9"), ("en", None), ("de", "s0"), (None, "s0")])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = R.judge(docs.repartition(4)).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert r.distance is None and r.pooled_distance is not None and not r.base_failed
+        assert r.kept == (r.doc.doc_id < 100), r
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string")
     assert R.judge(docs).count() == 0
