@@ -16,9 +16,12 @@ statistics: the most junk the method can bear) whose scatter has the
 smallest determinant: concentration steps from two starts (the shortest
 interval that holds half of the values of each statistic, and plain moments),
 the start with the smaller determinant winning. The scatter is made consistent
-for normal data at the subset's share and the group's size, ``FLOOR`` squared is
-added to its diagonal, as clean text has no spread at all in some statistics,
-and documents whose squared Mahalanobis distance is beyond the chi-square
+for normal data at the subset's share and the group's size. As clean text has no
+spread at all in some statistics, the diagonal gets ``FLOOR`` squared (a share of
+one or two percent repeated is usual in long texts) and, for the two shares, the
+sampling variance at the document's own number of lines and words: 1 / 4 n of the
+root of a share of n, n being the lines, or the words by ``REPEAT_UNIT``, as two
+equal windows cover six words. Documents whose squared Mahalanobis distance is beyond the chi-square
 quantile of ``TAIL`` are rejected.
 
 A concentration step is one aggregation over all documents: moments by group
@@ -46,6 +49,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from panelspark.llm.common import saved
 
@@ -54,7 +58,8 @@ STEPS = 6
 MIN_GROUP = 20
 SHORT_WORDS = 50
 TAIL = 1e-4
-FLOOR = (0.06, 0.08, 0.15, 0.15)
+FLOOR = (0.06, 0.08, 0.05, 0.05)
+REPEAT_UNIT = 6
 FEATURES = ("x1", "x2", "x3", "x4")
 SYMBOLS = "#*$%&|<>"
 #: Distance classes per power of two, and bins of a statistic per unit.
@@ -148,12 +153,27 @@ def small_sample(n: float) -> float:
     return 1 / (1 - 6.9 / max(n, 20) ** 0.92)
 
 
-def _distance(row: Sequence[Column], weight: Column) -> Column:
-    """Squared distance with the columns ``center`` and ``inverse`` of an estimate."""
-    y = [(x - F.col("center")[i]) * weight for i, x in enumerate(row)]
-    terms = [F.col("inverse")[4 * i + j] * y[i] * y[j] * (1 if i == j else 2) for i, j in _PAIRS]
-    total = sum(terms[1:], terms[0])
-    return F.when(total < 0, F.lit(0.0)).otherwise(total)  # null without an estimate
+@F.pandas_udf(DoubleType())
+def _distance(
+    center: pd.Series, scatter: pd.Series, x1: pd.Series, x2: pd.Series, x3: pd.Series, x4: pd.Series,
+    w: pd.Series, e3: pd.Series, e4: pd.Series,
+) -> pd.Series:
+    """Squared distance by an estimate and the document's own sampling variance; null without an estimate."""
+    out = np.full(len(w), np.nan)
+    some = np.flatnonzero(center.notna().to_numpy() & w.notna().to_numpy())
+    if len(some):
+        pick = lambda c: c.to_numpy(dtype=float)[some]
+        y = np.stack([pick(x1), pick(x2), pick(x3), pick(x4)], axis=1) - np.stack(center.to_numpy()[some])
+        y *= np.sqrt(pick(w))[:, None]
+        m = np.stack(scatter.to_numpy()[some]).reshape(-1, 4, 4)
+        m[:, 2, 2] += pick(e3)
+        m[:, 3, 3] += pick(e4)
+        out[some] = np.maximum(0.0, (y * np.linalg.solve(m, y[:, :, None])[:, :, 0]).sum(axis=1))
+    return pd.Series(out)
+
+
+#: What ``_distance`` takes.
+_ARGUMENTS = ("center", "scatter", *FEATURES, "w", "e3", "e4")
 
 
 def _starts(rows: DataFrame) -> DataFrame:
@@ -176,9 +196,11 @@ def _starts(rows: DataFrame) -> DataFrame:
         F.transform("q", lambda x: x["center"]).alias("center"),
         F.array(*[variance[i] if i == j else F.lit(0.0) for i in range(4) for j in range(4)]).alias("scatter"),
         "all",
+        F.lit(0.0).alias("e3"),
+        F.lit(0.0).alias("e4"),
     )
     plain = _moments(rows.groupBy("group").agg(*_sums()))
-    return robust.unionByName(plain.select("group", F.lit(1).alias("start"), "center", "scatter", F.col("n").alias("all")))
+    return robust.unionByName(plain.select("group", F.lit(1).alias("start"), "center", "scatter", F.col("n").alias("all"), "e3", "e4"))
 
 
 def _shortest_half(frame: pd.DataFrame) -> pd.DataFrame:
@@ -204,6 +226,8 @@ def _sums() -> list[Column]:
         F.sum("w").alias("w"),
         *[F.sum(F.col("w") * x[i]).alias(f"s{i}") for i in range(4)],
         *[F.sum(F.col("w") * x[i] * x[j]).alias(f"s{i}{j}") for i, j in _PAIRS],
+        F.sum("e3").alias("e3"),
+        F.sum("e4").alias("e4"),
     ]
 
 
@@ -214,35 +238,40 @@ def _moments(sums: DataFrame) -> DataFrame:
         for i in range(4)
         for j in range(4)
     ]
-    return sums.withColumn("center", F.array(*center)).withColumn("scatter", F.array(*scatter))
+    return (
+        sums.withColumn("center", F.array(*center)).withColumn("scatter", F.array(*scatter))
+        .withColumn("e3", F.col("e3") / F.col("n")).withColumn("e4", F.col("e4") / F.col("n"))
+    )
 
 
-def _inverses(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Adds the inverse and the log determinant of the consistent scatter plus the floor."""
+def _consistent(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The consistent scatter with the floor, and its log determinant at the subset's mean sampling variance."""
     for frame in frames:
         if len(frame):
             scale = np.array([_consistency(subset_size(n) / n) * small_sample(n) for n in frame["all"]])
-            m = np.stack(frame["scatter"].to_list()).reshape(-1, 4, 4) * scale[:, None, None] + np.diag(np.square(FLOOR))
-            frame["inverse"] = list(np.linalg.inv(m).reshape(-1, 16))
+            m = np.stack(frame["scatter"].to_list()).reshape(-1, 4, 4) * scale[:, None, None]
+            m += np.diag(np.square(FLOOR))
+            frame["scatter"] = list(m.reshape(-1, 16).copy())
+            m[:, 2, 2] += frame["e3"].to_numpy()
+            m[:, 3, 3] += frame["e4"].to_numpy()
             frame["log_det"] = np.linalg.slogdet(m)[1]
         else:
-            frame["inverse"], frame["log_det"] = [], np.zeros(0)
-        yield frame[["group", "start", "center", "inverse", "log_det"]]
+            frame["log_det"] = np.zeros(0)
+        yield frame[["group", "start", "center", "scatter", "log_det"]]
 
 
-_ESTIMATE = "group string, start int, center array<double>, inverse array<double>, log_det double"
+_ESTIMATE = "group string, start int, center array<double>, scatter array<double>, log_det double"
 
 
 def estimates(rows: DataFrame) -> DataFrame:
-    """(group, center, inverse) of each group.
+    """(group, center, scatter) of each group.
 
-    ``rows``: group, weight ``w`` and the statistics of the documents to judge.
+    ``rows``: group, weight ``w``, sampling variances ``e3`` and ``e4``, and the statistics of the documents to judge.
     """
-    current = saved(_starts(rows).mapInPandas(_inverses, _ESTIMATE))
-    x = [F.col(f) for f in FEATURES]
+    current = saved(_starts(rows).mapInPandas(_consistent, _ESTIMATE))
     parts = Window.partitionBy("group", "start")
     for _ in range(STEPS):
-        distance = _distance(x, F.sqrt("w"))
+        distance = _distance(*_ARGUMENTS)
         classes = (
             rows.join(current, "group")
             .withColumn("class", F.floor(F.log2(distance + 2.0**-20) * CLASSES))
@@ -251,7 +280,7 @@ def estimates(rows: DataFrame) -> DataFrame:
         )
         before = F.coalesce(F.sum("n").over(parts.orderBy("class").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
         inside = classes.withColumn("before", before).withColumn("all", F.sum("n").over(parts))
-        names = ["n", "w", *[f"s{i}" for i in range(4)], *[f"s{i}{j}" for i, j in _PAIRS]]
+        names = ["n", "w", *[f"s{i}" for i in range(4)], *[f"s{i}{j}" for i, j in _PAIRS], "e3", "e4"]
         wanted = subset_size(F.col("all"))
         part = F.least(F.lit(1.0), (wanted - F.col("before")) / F.col("n"))
         subset = (
@@ -261,10 +290,10 @@ def estimates(rows: DataFrame) -> DataFrame:
             .agg(*[F.sum(F.col("part") * F.col(c)).alias(c) for c in names], F.max("all").alias("all"))
         )
         current = saved(
-            _moments(subset).select("group", "start", "center", "scatter", "all").mapInPandas(_inverses, _ESTIMATE)
+            _moments(subset).select("group", "start", "center", "scatter", "all", "e3", "e4").mapInPandas(_consistent, _ESTIMATE)
         )
-    best = F.min_by(F.struct("center", "inverse"), F.struct("log_det", "start")).alias("best")
-    return current.groupBy("group").agg(best).select("group", "best.center", "best.inverse")
+    best = F.min_by(F.struct("center", "scatter"), F.struct("log_det", "start")).alias("best")
+    return current.groupBy("group").agg(best).select("group", "best.center", "best.scatter")
 
 
 def _places(judged: DataFrame) -> DataFrame:
@@ -301,15 +330,17 @@ def judge(
         .withColumn("x2", F.sqrt(F.try_divide("n_symbols", "n_words")))
         .withColumn("x3", F.sqrt(F.try_divide("n_dup_lines", "n_lines")))
         .withColumn("x4", F.sqrt(F.try_divide("n_repeat_words", "n_words")))
+        .withColumn("e3", F.try_divide(F.col("w"), 4 * F.col("n_lines")))
+        .withColumn("e4", F.try_divide(F.col("w"), 4 * words / REPEAT_UNIT))
     )
-    judged = counted.where(~F.col("base_failed")).select("group", "lang_group", "w", *FEATURES)
+    judged = counted.where(~F.col("base_failed")).select("group", "lang_group", "w", *FEATURES, "e3", "e4")
     places = saved(_places(judged))
     members = judged.withColumn("group", F.explode(F.array("group", "lang_group", F.lit(EVERYTHING)))).join(
         places.select(F.col("place").alias("group")).distinct(), "group", "left_semi"
     )
     taken = places.join(estimates(members.drop("lang_group")).withColumnRenamed("group", "place"), "place")
     found = counted.join(taken, "group", "left")
-    distance = F.when(~F.col("base_failed"), _distance([F.col(f) for f in FEATURES], F.sqrt("w")))
+    distance = F.when(~F.col("base_failed"), _distance(*_ARGUMENTS))
     own = F.col("place") == F.col("group")
     return found.withColumn("any_distance", distance).select(
         "doc", *COUNTS, "base_failed",

@@ -101,6 +101,26 @@ def test_small_groups_are_judged_by_larger_ones(spark):
         assert r.kept == (r.doc.doc_id < 100), r
 
 
+def test_repeated_lines_and_words_decide_alone(spark):
+    """Documents with a third to a half of their lines, or a third of their words, repeated go; one short repeat stays."""
+    rng = random.Random(9)
+    prose = lambda n: [texts(rng, 10) for _ in range(n)]
+    rows = [(i, "\n".join(prose(rng.randint(6, 60)))) for i in range(150)]
+    rows += [(200 + i, "\n".join([*(x := prose(6)), x[0]])) for i in range(6)]
+    for i in range(20):  # a word of a line of its own between the lines of prose
+        lines = prose(40)
+        for k in range(21 + i):
+            lines.insert(2 * k, "menu")
+        rows.append((1000 + i, "\n".join(lines)))
+    rows += [(2000 + i, " ".join([*(x := prose(34)), *x[:7]])) for i in range(20)]
+    docs = spark.createDataFrame([(*r, "en", "a") for r in rows], "doc_id long, text string, lang string, source string")
+    got = {r.doc.doc_id: r for r in R.judge(docs.repartition(4)).collect()}
+    assert all(0.3 <= got[1000 + i].n_dup_lines / got[1000 + i].n_lines <= 0.5 for i in range(20))
+    assert all(0.3 <= got[2000 + i].n_repeat_words / got[2000 + i].n_words <= 0.5 for i in range(20))
+    assert not any(r.base_failed for r in got.values())
+    assert {i for i, r in got.items() if not r.kept} == {i for i in got if i >= 1000}
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string")
     assert R.judge(docs).count() == 0
