@@ -14,6 +14,7 @@ from panelspark.llm.chunked_bpe import decode_documents, encode_documents
 from panelspark.llm.common import crc32_mod, documents, new_folder
 from panelspark.llm.hidden_markov import score_documents
 from panelspark.llm.language_id import identify, in_training, train
+from panelspark.llm.license_scan import scan_licenses
 from panelspark.llm.line_dedup import dedup_lines
 from panelspark.llm.ngram_join import jaccard_components
 from panelspark.llm.robust_outliers import judge
@@ -104,6 +105,13 @@ def op10_token_files(spark: SparkSession, root: str) -> DataFrame:
     return digest_token_files(spark, path)
 
 
+def op11_license_scan(spark: SparkSession, root: str) -> DataFrame:
+    found = scan_licenses(documents(spark, root), keep=["doc_id"])
+    return found.select(
+        "doc.doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"
+    )
+
+
 QUERIES: dict[str, Builder] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_hidden_markov": op2_hidden_markov,
@@ -115,6 +123,7 @@ QUERIES: dict[str, Builder] = {
     "op8_ngram_join": op8_ngram_join,
     "op9_source_mixing": op9_source_mixing,
     "op10_token_files": op10_token_files,
+    "op11_license_scan": op11_license_scan,
 }
 
 SQL: dict[str, str] = {
