@@ -12,6 +12,7 @@ from panelspark.llm import sql
 from panelspark.llm.chat_windows import digest_windows, format_conversations
 from panelspark.llm.chunked_bpe import decode_documents, encode_documents
 from panelspark.llm.common import crc32_mod, documents, new_folder
+from panelspark.llm.hard_negatives import mine_hard_negatives
 from panelspark.llm.hidden_markov import score_documents
 from panelspark.llm.language_id import identify, in_training, train
 from panelspark.llm.license_scan import scan_licenses
@@ -21,6 +22,7 @@ from panelspark.llm.robust_outliers import judge
 from panelspark.llm.source_mixing import mix_sources
 from panelspark.llm.spherical_caps import near_duplicates
 from panelspark.llm.token_files import digest_token_files, write_token_files
+from panelspark.llm.whitening import by_component, fit_whitening, identity_error, whiten
 from panelspark.sources.tables import read_table
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -112,6 +114,22 @@ def op11_license_scan(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def op12_whitening(spark: SparkSession, root: str) -> DataFrame:
+    vectors = read_table(spark, root, "embeddings").select("vec_id", "embedding")
+    model = fit_whitening(vectors)
+    error = identity_error(vectors, model)
+    return by_component(whiten(vectors, model), model).select(
+        "doc.vec_id", "component", "n", "deviation", "whitened", "explained", F.lit(error).alias("identity_error")
+    )
+
+
+def op13_hard_negatives(spark: SparkSession, root: str) -> DataFrame:
+    """Every seventh row gets another label; every hundredth is an anchor."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = read_table(spark, root, "embeddings").select("vec_id", "embedding", moved.alias("label"))
+    return mine_hard_negatives(vectors, F.col("vec_id") % 100 == 0)
+
+
 QUERIES: dict[str, Builder] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_hidden_markov": op2_hidden_markov,
@@ -124,6 +142,8 @@ QUERIES: dict[str, Builder] = {
     "op9_source_mixing": op9_source_mixing,
     "op10_token_files": op10_token_files,
     "op11_license_scan": op11_license_scan,
+    "op12_whitening": op12_whitening,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 SQL: dict[str, str] = {
@@ -131,6 +151,7 @@ SQL: dict[str, str] = {
     "op3_spherical_caps": sql.SPHERICAL_CAPS,
     "op8_ngram_join": sql.NGRAM_JOIN,
     "op9_source_mixing": sql.SOURCE_MIXING,
+    "op13_hard_negatives": sql.HARD_NEGATIVES,
 }
 
 

@@ -145,3 +145,26 @@ SELECT e.vec_id, (SELECT count(*) FROM links WHERE links.x = e.vec_id)::BIGINT A
        e.vec_id = c.component_id AS kept
 FROM embeddings e JOIN c ON c.id = e.vec_id
 """
+
+HARD_NEGATIVES = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda c: floor(256 * c::DOUBLE)) AS x
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same,
+         list_dot_product(a.x, b.x)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND b.vec_id <> a.vec_id AND len(a.x) = len(b.x)
+), positives AS (
+  SELECT anchor_id, other AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5
+), found AS (
+  SELECT p.anchor_id, p.positive_id, p.positive_score, s.other AS negative_id, s.score AS negative_score,
+         (row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.other))::INTEGER AS rank
+  FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same
+   AND 100 * s.score >= 30 * p.positive_score AND 100 * s.score <= 90 * p.positive_score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM found WHERE rank <= 10
+"""
