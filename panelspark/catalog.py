@@ -18,6 +18,7 @@ from panelspark.plans import exploration as ex
 from panelspark.plans import global_analysis as ga
 from panelspark.plans import vaccination as vx
 from panelspark.sources.panels import deaths_panel, vax_panel
+from panelspark.sources.tables import Tables
 
 Builder = Callable[[SparkSession, str], DataFrame]
 
@@ -46,12 +47,17 @@ def _vax(fn, grain="nation", **kw) -> Builder:
     return lambda spark, root: fn(vax_panel(spark, root, grain), **kw)
 
 
+def _panels(spark: SparkSession, root: str, grain: str) -> tuple[DataFrame, DataFrame]:
+    tables = Tables(spark, root)
+    return deaths_panel(spark, root, grain, tables), vax_panel(spark, root, grain, tables)
+
+
 def _both(fn, grain="nation", **kw) -> Builder:
-    return lambda spark, root: fn(deaths_panel(spark, root, grain), vax_panel(spark, root, grain), **kw)
+    return lambda spark, root: fn(*_panels(spark, root, grain), **kw)
 
 
 def _vax_deaths(fn, grain="nation", **kw) -> Builder:
-    return lambda spark, root: fn(vax_panel(spark, root, grain), deaths_panel(spark, root, grain), **kw)
+    return lambda spark, root: fn(*reversed(_panels(spark, root, grain)), **kw)
 
 
 JOBS: list[Query] = [

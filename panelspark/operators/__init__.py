@@ -5,11 +5,12 @@ from panelspark.operators.latest import aggregate_latest, latest_global, latest_
 from panelspark.operators.milestones import crossings, pivot_dates
 from panelspark.operators.profile import two_level_profile
 from panelspark.operators.profiling import completeness, overview
-from panelspark.operators.ranking import global_row_number, positions_of, top_k
+from panelspark.operators.ranking import best_rows, global_row_number, positions_of, top_k
 from panelspark.operators.rolling import rolling, series_window, shifted
 
 __all__ = [
     "aggregate_latest",
+    "best_rows",
     "completeness",
     "crossings",
     "duplicate_keys",

@@ -53,6 +53,23 @@ def global_row_number(
     )
 
 
+def best_rows(df: DataFrame, k: int, key: str, metrics: Sequence[str]) -> DataFrame:
+    """The rows that are among the first ``k`` by any of ``metrics``: descending, NULL last, ties by ``key``.
+
+    ``df`` is used once: every row goes into one numbering per metric, of which
+    each task keeps its own first ``k`` (WindowGroupLimit). The metrics need a common type."""
+    orders = F.array(*[F.struct(F.lit(i).alias("order"), F.col(m).alias("value")) for i, m in enumerate(metrics)])
+    columns = [F.col(c) for c in df.columns]
+    place = Window.partitionBy("o.order").orderBy(F.col("o.value").desc_nulls_last(), F.col(key))
+    return (
+        df.select(*columns, F.explode(orders).alias("o"))
+        .withColumn("place", F.row_number().over(place))
+        .where(F.col("place") <= k)
+        .select(*columns)
+        .distinct()
+    )
+
+
 def positions_of(
     selected: DataFrame, df: DataFrame, key: str, rankings: Sequence[tuple[str, str]]
 ) -> DataFrame:
@@ -60,24 +77,44 @@ def positions_of(
 
     A ranking (name, metric) is descending, NULL last, ties by ``key``; the
     position is one more than the number of rows ahead. The selected rows, whose number must be
-    a small constant such as a top k, become one array; every row of ``df``
-    adds up, per selected row, whether it is ahead, so the whole table is read
+    a small constant such as a top k, become one array.
+
+    Their metric values cut each ranking into ranges. Every row of ``df`` finds its
+    range, and a histogram of the ranges, summed on the map side, is all that
+    is shuffled: (number of rankings) * (number of selected rows + 1) counts. The position of a
+    selected row is one more than the sum of the ranges ahead of it. ``df`` is read
     once, in parallel, and no task sorts it.
     """
     metrics = [m for _, m in rankings]
-    chosen = selected.agg(F.collect_list(F.struct(key, *metrics)).alias("s")).select("s").scalar()
+    chosen = selected.agg(F.collect_list(F.struct(*selected.columns)).alias("s")).select("s").scalar()
 
-    def ahead(s: Column, metric: str) -> Column:
-        v = F.col(metric)
-        tie = v.eqNullSafe(s[metric]) & (F.col(key) < s[key])
-        return F.coalesce(v > s[metric], v.isNotNull() & s[metric].isNull()) | tie
+    def ahead(a: Column, b: Column, metric: str) -> Column:
+        x, y = a[metric], b[metric]
+        tie = x.eqNullSafe(y) & (a[key] < b[key])
+        return F.coalesce(x > y, x.isNotNull() & y.isNull()) | tie
 
+    def range_of(metric: str) -> Column:
+        """How many selected rows a row is not ahead of."""
+        return F.size(F.filter("chosen", lambda c: ~ahead(F.col("me"), c, metric)))
+
+    ranges = F.array(*[
+        F.struct(F.lit(i).alias("ranking"), range_of(m).alias("range")) for i, m in enumerate(metrics)
+    ])
     counts = (
-        df.select(key, *metrics, F.explode(chosen).alias("s"))
-        .groupBy(F.col(f"s.{key}").alias(key))
-        .agg(*[(F.count_if(ahead(F.col("s"), metric)) + 1).alias(name) for name, metric in rankings])
+        df.select(F.struct(key, *dict.fromkeys(metrics)).alias("me"), chosen.alias("chosen"))
+        .select("chosen", F.explode(ranges).alias("at"))
+        .groupBy("at.ranking", "at.range")
+        .agg(F.count(F.lit(1)).alias("rows"), F.first("chosen").alias("chosen"))
+        .agg(F.collect_list(F.struct("ranking", "range", "rows")).alias("counts"), F.first("chosen").alias("chosen"))
     )
-    return selected.join(counts, key)
+
+    def position(i: int, metric: str) -> Column:
+        own = F.size(F.filter("chosen", lambda c: ahead(c, F.col("row"), metric)))
+        before = F.filter("counts", lambda h: (h["ranking"] == i) & (h["range"] <= own))
+        return F.aggregate(before, F.lit(1).cast("long"), lambda n, h: n + h["rows"])
+
+    rows = counts.select("*", F.explode("chosen").alias("row"))
+    return rows.select("row.*", *[position(i, m).alias(name) for i, (name, m) in enumerate(rankings)])
 
 
 def top_k(df: DataFrame, k: int, order: Sequence[Column]) -> DataFrame:

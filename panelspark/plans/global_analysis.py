@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelspark.functions import bands
 from panelspark.functions.ratios import growth_pct, mean_of_rounded, pct_ratio
-from panelspark.operators.latest import aggregate_latest, latest_global
-from panelspark.operators.ranking import positions_of, top_k
+from panelspark.operators.latest import aggregate_latest
+from panelspark.operators.ranking import best_rows, positions_of, top_k
 from panelspark.operators.rolling import rolling, shifted
 from panelspark.plans.exploration import grouped_rows
 from panelspark.spec import DEFAULT, PanelSpec
@@ -58,8 +58,8 @@ def global_trend(
 
 
 _RANKINGS = (
-    ("rank_by_total_cases", "total_cases"),
-    ("rank_by_total_deaths", "total_deaths"),
+    ("rank_by_total_cases", "_cases"),
+    ("rank_by_total_deaths", "_deaths"),
     ("rank_by_infection_rate", "_infection"),
     ("rank_by_death_rate", "_death"),
     ("rank_by_fatality_rate", "_fatality"),
@@ -72,25 +72,35 @@ def entity_rankings(deaths: DataFrame, k: int = 20, spec: PanelSpec = DEFAULT) -
     ``k`` by cases or by deaths.
 
     Rankings use the unrounded values, descending, ties broken by entity name.
-    Only the at most 2 ``k`` entities of the result need their positions, so
-    they are counted (``positions_of``); no task sorts all entities.
+    One pass over the panel keeps each entity's last row. The entities that
+    have one on the table's last day are chosen from and ranked: only the at most 2 ``k``
+    of the result need their positions, which a histogram of ranges gives
+    (``positions_of``); no task sorts all entities.
     """
-    panel = deaths.select(spec.group, spec.entity, spec.date, "population", "total_cases", "total_deaths")
-    latest = latest_global(panel, spec.date, F.col(spec.group).isNotNull()).where(
-        (F.col("total_cases") > 0) & (F.col("total_deaths") > 0)
+    measures = ("population", "total_cases", "total_deaths")
+    last = (
+        deaths.where(F.col(spec.group).isNotNull())
+        .groupBy(spec.entity)
+        .agg(F.max_by(F.struct(spec.date, spec.group, *measures), spec.date).alias("_last"))
+        .select(spec.entity, "_last.*")
     )
-    rated = latest.select(
-        spec.entity,
-        spec.group,
-        "population",
-        "total_cases",
-        "total_deaths",
-        pct_ratio("total_cases", "population").alias("_infection"),
-        pct_ratio("total_deaths", "population").alias("_death"),
-        pct_ratio("total_deaths", "total_cases").alias("_fatality"),
+    counted = F.coalesce((F.col("total_cases") > 0) & (F.col("total_deaths") > 0), F.lit(False))
+
+    def ranked(value: Column, name: str) -> Column:
+        """Entities without a row on the last day, or without cases and deaths, come behind all others."""
+        return F.struct(spec.date, counted.alias("counted"), value.alias("value")).alias(name)
+
+    rated = last.select(
+        *last.columns,
+        ranked(F.col("total_cases"), "_cases"),
+        ranked(F.col("total_deaths"), "_deaths"),
+        ranked(pct_ratio("total_cases", "population"), "_infection"),
+        ranked(pct_ratio("total_deaths", "population"), "_death"),
+        ranked(pct_ratio("total_deaths", "total_cases"), "_fatality"),
     )
-    best = lambda c: top_k(rated, k, [F.col(c).desc_nulls_last(), F.col(spec.entity)])
-    chosen = best("total_cases").unionByName(best("total_deaths")).distinct()
+    best = best_rows(rated, k, spec.entity, ("_cases", "_deaths"))
+    newest = F.max(spec.date).over(Window.partitionBy(F.lit(0)))  # of the at most 2 k best rows
+    chosen = best.withColumn("_newest", newest).where((F.col(spec.date) == F.col("_newest")) & F.col("_cases.counted"))
     return (
         positions_of(chosen, rated, spec.entity, _RANKINGS)
         .select(

@@ -108,3 +108,46 @@ def test_hot_entity_is_split_in_a_panel_join(spark):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def executed_nodes(df):
+    """The physical nodes that ran, those of subqueries included."""
+    plan = df._jdf.queryExecution().executedPlan()
+    todo, seen = [plan], []
+    while todo:
+        node = todo.pop()
+        kind = node.getClass().getSimpleName()
+        seen.append((kind, node))
+        if kind == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            todo.append(node.plan())
+        for many in (node.children(), node.subqueries()):
+            todo += [many.apply(i) for i in range(many.size())]
+    return seen
+
+
+def rows_read(df):
+    """Rows that the scans of an executed DataFrame have put out, by scan."""
+    return sorted(
+        node.metrics().apply("numOutputRows").value() for kind, node in executed_nodes(df) if kind == "FileSourceScanExec"
+    )
+
+
+def test_rankings_read_the_panel_once(spark):
+    from panelspark.plans import global_analysis as ga
+
+    df = ga.entity_rankings(deaths_panel(spark, SF_SMALL))
+    derivations = df._jdf.queryExecution().optimizedPlan().toString().count("max_by(")
+    assert derivations <= 2  # the panel, and the same once more in the choice of the rows
+    assert len(df.collect()) > 0
+    # orders come into the plan for the calendar and for the facts, and only these are read
+    read = rows_read(df)
+    assert sum(read) <= 2 * 1500 + 6000 + 2 * 150 + 200
+
+
+def test_calendar_is_one_subquery(spark):
+    df = deaths_panel(spark, SF_SMALL).join(vax_panel(spark, SF_SMALL).select("location", "date"), ["location", "date"])
+    df.collect()
+    facts = [n for n in rows_read(df) if n >= 1500]
+    assert facts.count(6000) <= 2 and facts.count(1500) <= 2  # the facts themselves, and one calendar
