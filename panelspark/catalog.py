@@ -32,7 +32,7 @@ class Query:
     name: str
     build: Builder
     sql: str | None
-    kind: str  # "job", "operator" or "primitive"
+    kind: str  # "job", "operator", "primitive" or "source"
     grain: str = "nation"  # entity grain of the derived panels (see sources.panels)
 
     def oracle(self) -> str | None:
@@ -135,9 +135,9 @@ JOBS += [
 
 
 def all_queries() -> list[Query]:
-    from panelspark.plans import primitives
+    from panelspark.plans import primitives, series
 
-    return JOBS + primitives.QUERIES
+    return JOBS + primitives.QUERIES + series.queries(TREND_START)
 
 
 def builders() -> dict[str, Builder]:

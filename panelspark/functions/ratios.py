@@ -61,3 +61,13 @@ def mean_of_decimals(col, places: int, digits: int = 6) -> Column:
     """
     mean = F.avg(F.round(_col(col) * F.lit(10 ** digits), 0)) / F.lit(10 ** (digits - places))
     return F.round(mean, 0) / F.lit(10 ** places)
+
+
+def correlation(x, y) -> Column:
+    """Pearson correlation of the pairs without a NULL; NULL if a side has no variance.
+
+    An aggregate. ``corr`` itself divides by zero there, which ANSI mode raises."""
+    a, b = _col(x).cast("double"), _col(y).cast("double")
+    both = a.isNotNull() & b.isNotNull()
+    a, b = F.when(both, a), F.when(both, b)
+    return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))

@@ -138,6 +138,8 @@ def with_panels(sql: str, grain: str = "nation") -> str:
     """
     ctes = panel_ctes(grain).strip()
     body = sql.strip()
+    if body[:15].upper() == "WITH RECURSIVE ":
+        return "WITH RECURSIVE " + ctes + ",\n" + body[15:]
     if body[:5].upper() == "WITH ":
         return "WITH " + ctes + ",\n" + body[5:]
     return "WITH " + ctes + "\n" + body

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelspark.functions import bands
-from panelspark.functions.ratios import growth_pct, mean_of_rounded, pct_ratio
+from panelspark.functions.ratios import correlation, growth_pct, mean_of_rounded, pct_ratio
 from panelspark.operators.latest import aggregate_latest
 from panelspark.operators.ranking import best_rows, positions_of, top_k
 from panelspark.operators.rolling import rolling, shifted
@@ -273,7 +273,7 @@ def lagged_association(
         F.round(F.avg("_d7"), 0).alias("avg_7day_deaths"),
     ]
     if with_corr:
-        aggs.append(F.round(F.corr(nc.cast("double"), F.col("_shifted").cast("double")), 3).alias("cases_deaths_corr"))
+        aggs.append(F.round(correlation(nc, "_shifted"), 3).alias("cases_deaths_corr"))
     per_entity = rows.groupBy(e).agg(*aggs).where(F.col("data_points") > min_points)
     return top_k(per_entity, k, [F.col("avg_daily_cases").desc(), F.col(e)])
 

@@ -69,9 +69,9 @@ def _rows_at_entity_latest(spark: SparkSession, root: str) -> DataFrame:
 
 
 ROWS_AT_ENTITY_LATEST_SQL = f"""
-WITH reported AS (SELECT location, date, {COVERAGE} FROM vax_panel WHERE {COVERAGE} IS NOT NULL)
-SELECT a.* FROM reported a LEFT JOIN reported later ON later.location = a.location AND later.date > a.date
-WHERE later.date IS NULL
+WITH reported AS (SELECT location, date, {COVERAGE} FROM vax_panel WHERE {COVERAGE} IS NOT NULL),
+last_days AS (SELECT location, MAX(date) AS date FROM reported GROUP BY location)
+SELECT r.* FROM reported r JOIN last_days l ON l.location = r.location AND l.date = r.date
 """
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelspark.functions import bands
-from panelspark.functions.ratios import mean_of_decimals, mean_of_rounded, pct_ratio
+from panelspark.functions.ratios import correlation, mean_of_decimals, mean_of_rounded, pct_ratio
 from panelspark.operators.joins import panel_join
 from panelspark.operators.latest import latest_per_entity, rows_at_entity_latest
 from panelspark.operators.milestones import crossings, pivot_dates
@@ -141,7 +141,7 @@ def level_outcomes(
 
     ``with_corr`` adds the mean over entities of the Pearson correlation of
     coverage and the smoothed death rate inside the level."""
-    cell_corr = [F.round(F.corr(COVERAGE, "deaths_14day_avg"), 3).alias("coverage_deaths_corr")] if with_corr else []
+    cell_corr = [F.round(correlation(COVERAGE, "deaths_14day_avg"), 3).alias("coverage_deaths_corr")] if with_corr else []
     level_corr = [F.round(F.avg("coverage_deaths_corr"), 3).alias("avg_coverage_deaths_corr")] if with_corr else []
     e, d = spec.entity, spec.date
     cov = F.col(COVERAGE)

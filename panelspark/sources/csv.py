@@ -10,6 +10,8 @@ does not matter.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -55,3 +57,52 @@ def _typed(field: T.StructField):
         # Portals write counts as "123.0"; go through double so ANSI casts accept it.
         col = col.cast("double")
     return col.cast(field.dataType).alias(field.name)
+
+
+def read_panel_csv_checked(
+    spark: SparkSession, path: str, schema: T.StructType, header: Sequence[str] | None = None,
+    required: Sequence[str] = ("location", "date"),
+) -> DataFrame:
+    """The panel CSV with each row's ``problem`` and ``raw`` line instead of errors or silent NULLs.
+
+    ``problem`` is NULL for a sound row. Otherwise it is ``malformed`` (another number of fields than the
+    header, or broken quotes), ``missing <column>`` for an empty ``required`` column, or
+    ``invalid <column>`` for the first column, in the order of ``schema``, whose text is no value of its type;
+    counts may be written as "123.0", but not as "123.5". ``raw`` is the line of a malformed row,
+    and for the others the fields that were read, joined by commas.
+    Typed columns of a row with a problem hold what could be read.
+
+    ``header`` names the columns of files that have no header row. The sound rows are
+    ``where("problem IS NULL")``; nothing is dropped, in one pass over the files.
+    """
+    if header is None:
+        header = spark.read.option("header", True).option("inferSchema", False).csv(path).columns
+        reader = spark.read.option("header", True)
+    else:
+        reader = spark.read.option("header", False)
+    corrupt = "_corrupt_record"
+    text = T.StructType([T.StructField(c, T.StringType()) for c in (*header, corrupt)])
+    lines = (
+        reader.schema(text).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", corrupt).csv(path)
+    )
+    problem = F.when(F.col(corrupt).isNotNull(), F.lit("malformed"))
+    for name in required:
+        problem = problem.when(F.col(f"`{name}`").isNull(), F.lit(f"missing {name}"))
+    for field in schema.fields:
+        source = F.col(f"`{field.name}`")
+        problem = problem.when(source.isNotNull() & _tried(field).isNull(), F.lit(f"invalid {field.name}"))
+    joined = F.concat_ws(",", *[F.coalesce(F.col(f"`{c}`"), F.lit("")) for c in header])
+    return lines.select(
+        *[_tried(f).alias(f.name) for f in schema.fields],
+        problem.alias("problem"),
+        F.coalesce(F.col(corrupt), joined).alias("raw"),
+    )
+
+
+def _tried(field: T.StructField):
+    """The value of a text column, NULL where the text is none of its type."""
+    col = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, T.LongType):
+        number = col.try_cast("decimal(38,6)")
+        return F.when(number == F.floor(number), number).try_cast("long")
+    return col.try_cast(field.dataType)

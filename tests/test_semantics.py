@@ -263,3 +263,12 @@ def test_latest_aggregates_leave_out_groups_without_the_last_day(spark):
     total = [F.sum("new_cases").alias("c"), F.count("*").alias("n")]
     assert [tuple(r) for r in aggregate_latest(df, total, by=["continent"]).collect()] == [("X", 2, 1)]
     assert tuple(aggregate_latest(df, total).first()) == (2, 1)
+
+
+def test_correlation_without_variance_is_null(spark):
+    from panelspark.functions.ratios import correlation
+
+    rows = [("a", 1, 5), ("a", 2, 5), ("b", 1, 2), ("b", 2, 4), ("b", 3, None), ("b", 4, 8), ("c", None, 1)]
+    df = spark.createDataFrame(rows, "g string, x long, y long")
+    got = {r.g: r.c for r in df.groupBy("g").agg(F.round(correlation("x", "y"), 9).alias("c")).collect()}
+    assert got == {"a": None, "b": 1.0, "c": None}
