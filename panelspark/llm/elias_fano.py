@@ -56,10 +56,9 @@ class EliasFano:
     def __getitem__(self, i: int) -> int:
         if not 0 <= i < self.count:
             raise IndexError(i)
-        low, start = 0, i * self.low_bits
-        for k in range(self.low_bits):
-            place = start + k
-            low |= (int(self.low[place >> 3]) >> (place & 7) & 1) << k
+        start = i * self.low_bits
+        packed = int.from_bytes(self.low[start >> 3 : (start + self.low_bits + 7) >> 3].tobytes(), "little")
+        low = packed >> (start & 7) & ((1 << self.low_bits) - 1)
         return (self.select(i) - i) << self.low_bits | low
 
     def values(self) -> np.ndarray:

@@ -8,17 +8,20 @@ vocabulary needs; the Elias-Fano code of the document ends inside the block;
 the document ids. A block is closed when it has ``block_ids`` ids, so memory is
 bounded by a block and one document. Offsets over the whole corpus are the
 block's start (the ids of its shard before it, kept in the file, and a prefix
-sum over shards) plus the offset that the select structure returns.
+sum over shards) plus the offset that the select structure returns; a reader asks it for the
+two ends of each document it reads.
 
 Encoding goes by units: a run of spaces and line feeds with the text up to the
 next run. A unit always begins at a pre-token boundary of the tokenizer's
 pattern, and what is inside does not look past its end, so units can be encoded
 apart; each distinct one is encoded once per worker while it stays in a bounded
-dictionary. Texts with any other white space are encoded whole.
+dictionary. Texts with any other white space are encoded whole. Names of special tokens in
+a text are encoded as the library does by default, as that token.
 
 Defined results: a null or empty text has the end id only; null document ids
-come first; rows of one id are ordered by text; an empty table gives an empty
-table of blocks.
+come first; rows of one id are ordered by text; a very long text is one document of a
+block of its own size; ids are numbers, or texts of numbers; other columns are not read; an
+empty table gives an empty table of blocks.
 """
 
 from __future__ import annotations
@@ -41,10 +44,11 @@ BLOCK_IDS = 1 << 20
 #: Units whose ids a worker keeps; beyond it the dictionary starts anew.
 CACHE_UNITS = 600_000
 #: Characters of text encoded together, and new units per call of the library.
-SLICE_CHARS, JOINED_UNITS = 2 << 20, 48
+SLICE_CHARS, JOINED_UNITS = 2 << 20, 256
 
-_OTHER_SPACE = re.compile(r"[^\S \n]")
-_DOUBLE_SPACE = re.compile(r"[ \n][ \n]|^ | $")
+#: White space other than the space and the line feed.
+_OTHER_SPACE = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
+_DOUBLE_SPACE = ("  ", " \n", "\n ", "\n\n")
 _UNIT = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 #: A word with one mark behind it: two pre-tokens.
 _MARKED = re.compile(r"[^\W\d_]+[.,]")
@@ -62,7 +66,6 @@ class UnitEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
-        self.tokenizer.encode_special_tokens = True
         vocabulary = self.tokenizer.get_vocab()
         self.dtype = np.dtype("<u2" if max(vocabulary.values()) < 1 << 16 else "<u4")
         # in a byte-level vocabulary each character of a token stands for one byte
@@ -103,18 +106,18 @@ class UnitEncoder:
         keyed: list[list[str]] = []
         odd: dict[int, list[str]] = {}
         for i, text in enumerate(texts):
-            if "\x00" in text or _OTHER_SPACE.search(text):
+            if "\x00" in text or any(c in text for c in _OTHER_SPACE):
                 odd[i] = [text]
-            elif _DOUBLE_SPACE.search(text):
+            elif text[:1] == " " or text[-1:] == " " or any(c in text for c in _DOUBLE_SPACE):
                 odd[i] = _UNIT.findall(text)
             keyed.append([] if i in odd else self._units(text))
         known = self.units
-        new = {u for u in chain.from_iterable(keyed) if u not in known}
+        new = set(chain.from_iterable(keyed)).difference(known)
         marked = [u for u in new if _MARKED.fullmatch(u)]
         self._learn([u for u in {*new.difference(marked), *(u[:-1] for u in marked)} if u not in known])
         for u in marked:
             known[u] = known[u[:-1]] + self.marks[u[-1]]
-        out = [b"".join([known[u] for u in units]) for units in keyed]
+        out = [b"".join(map(known.__getitem__, units)) for units in keyed]
         for i, units in odd.items():
             out[i] = b"".join(self._whole(units))
         return out
@@ -134,8 +137,9 @@ class UnitEncoder:
             ends = np.cumsum([len(p.encode()) for p in parts])
             reached = np.cumsum(self.token_bytes[ids])
             cuts = np.searchsorted(reached, ends) + 1
-            if not (reached[cuts - 1] == ends).all():
-                raise AssertionError("a unit does not end at a token")
+            if cuts[-1] > len(reached) or not (reached[cuts - 1] == ends).all():  # a unit does not end at a token
+                self.units.update(zip(group, self._whole(parts), strict=True))
+                continue
             data, size, start = ids.tobytes(), self.dtype.itemsize, 0
             for key, cut in zip(group, cuts.tolist(), strict=True):
                 self.units[key] = data[start * size : cut * size]
@@ -222,11 +226,17 @@ def write_token_files(
     ).parquet(path)
 
 
+def _ends(code: bytes) -> np.ndarray:
+    """Where each document of a block ends, by select."""
+    boundaries = EliasFano.from_bytes(code)
+    return np.fromiter((boundaries[i] for i in range(boundaries.count)), np.int64, boundaries.count)
+
+
 def _read_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in range(batch.num_rows):
             first, width, doc_ids, ends, data = (batch.column(c)[row].as_py() for c in range(5))
-            limits = EliasFano.from_bytes(ends).values()
+            limits = _ends(ends)
             starts = np.concatenate([[0], limits[:-1]])
             ids = np.frombuffer(data, "<u2" if width == 2 else "<u4")
             yield pa.RecordBatch.from_arrays(
@@ -262,7 +272,7 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in range(batch.num_rows):
             first, width, doc_ids, ends, data = (batch.column(c)[row].as_py() for c in range(5))
-            limits = EliasFano.from_bytes(ends).values()
+            limits = _ends(ends)
             starts = np.concatenate([[0], limits[:-1]])
             wide = np.frombuffer(data, "<u2" if width == 2 else "<u4").astype("<u4")
             sums = [zlib.crc32(wide[a:b]) for a, b in zip(starts.tolist(), limits.tolist(), strict=True)]

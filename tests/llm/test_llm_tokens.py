@@ -1,6 +1,7 @@
 """Chunked BPE, Elias-Fano boundaries and token files against the libraries themselves."""
 
 import base64
+import functools
 import hashlib
 import zlib
 
@@ -8,14 +9,14 @@ import numpy as np
 import public_tokenizers as P
 import pytest
 import tiktoken
-from hypothesis import given
+from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from panelspark.llm.chunked_bpe import decode_documents, encode_documents
 from panelspark.llm.elias_fano import EliasFano
 from panelspark.llm.common import new_folder
-from panelspark.llm.token_files import digest_token_files, read_token_files, write_token_files
+from panelspark.llm.token_files import UnitEncoder, digest_token_files, read_token_files, write_token_files
 
 RANKS = P.path("byte_bpe_multi_50k.tiktoken")
 JSON = P.path("byte_bpe_50k.json")
@@ -23,7 +24,7 @@ JSON = P.path("byte_bpe_50k.json")
 TEXTS = [
     None, "", " ", "\n", "a", "That it.", "That it.", " lead", "trail ", "two  spaces\n\nand\tlines \n x　y z",
     "it's we'll they're'll", "<|endoftext|> </s> [INST]", "x" * 700, "word " * 400, "É étion çé\nüß 日本語 1234567 !!??\n" * 40,
-    " " * 300 + "end", "a\x00b \x00c\x00 d", "\x00", "a\x1cb c\x1c d", "we'r" * 90, "\n".join(["line one.", "line two."] * 60),
+    " " * 300 + "end", "a <|endoftext|> b<|endoftext|>c\n<|endoftext|>  <|endoftext|>, d.<|endoftext|>", "a\x00b \x00c\x00 d", "\x00", "a\x1cb c\x1c d", "we'r" * 90, "\n".join(["line one.", "line two."] * 60),
 ]
 
 
@@ -57,8 +58,9 @@ def test_encoding_of_an_empty_table(spark, docs):
 
 def test_token_files_round_trip(spark, docs):
     tokenizer = Tokenizer.from_file(JSON)
-    tokenizer.encode_special_tokens = True
     path = new_folder(spark, "test-token-files")
+    very_long = spark.createDataFrame([(77, "word, " * 200_000, "", 0)], docs.schema)
+    docs = docs.unionByName(very_long)
     write_token_files(docs, JSON, path, block_ids=500)
     got = read_token_files(spark, path).orderBy("start").collect()
     rows = sorted(docs.select("doc_id", "text").collect(), key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or ""))
@@ -81,6 +83,23 @@ def test_token_files_of_an_empty_table(spark, docs):
     assert read_token_files(spark, path).count() == 0
 
 
+@functools.cache
+def library(definition):
+    return Tokenizer.from_str(definition)
+
+
+@settings(deadline=None, max_examples=400)
+@given(st.lists(st.sampled_from(
+    ["<|endoftext|>", " ", "\n", "a", "b.", "é", ",", "<|", "\t", "\u3000", "\x1f", "it's", "12"]
+), max_size=25))
+def test_units_are_encoded_as_whole_texts(parts):
+    with open(JSON, encoding="utf-8") as f:
+        definition = f.read()
+    text, encoder = "".join(parts), UnitEncoder.shared(definition)
+    want = library(definition).encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(encoder.encode([text])[0], encoder.dtype).tolist() == want
+
+
 @given(st.lists(st.integers(0, 5000), max_size=300), st.integers(0, 6))
 def test_elias_fano(gaps, shift):
     values = np.cumsum(np.asarray(gaps, dtype=np.int64) << shift)
