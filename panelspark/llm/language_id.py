@@ -21,7 +21,7 @@ smaller language name; rows with null language, null or empty text teach
 nothing; extra columns are kept in one struct.
 
 The score is the posterior probability of the predicted language among those
-learned, with equal priors.
+learned, with equal priors. Rows that repeat get a result each.
 """
 
 from __future__ import annotations
@@ -40,7 +40,7 @@ ORDER = 3
 TRAIN_DOCS = 300
 UNKNOWN = "und"
 #: Bytes scored at a time.
-WINDOW = 1 << 20
+WINDOW = 1 << 18
 #: What stands before the first byte of a text.
 START = 10
 
@@ -218,12 +218,14 @@ def code_lengths(trees: Trees, data: np.ndarray, offsets: np.ndarray) -> np.ndar
     return total
 
 
-def _predict(model):
+def _predict(model, text_at: int | None):
+    """``text_at``: place of the text among the kept columns, None if it comes as a column of its own."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trees: Trees = model.value
         for batch in batches:
-            names = batch.schema.names
-            column, letters = batch.column(names.index("body")), batch.column(names.index("letters"))
+            letters = batch.column(1)
+            column = batch.column(2) if text_at is None else batch.column(0).field(text_at)
             sizes = np.diff(_texts(column)[1])
             cuts = np.searchsorted(np.cumsum(sizes), np.arange(WINDOW, sizes.sum() + WINDOW, WINDOW)) + 1
             edges = sorted({0, len(sizes), *np.minimum(cuts, len(sizes)).tolist()})
@@ -248,13 +250,16 @@ def _predict(model):
 def identify(docs: DataFrame, trees: Trees, *, keep: Sequence[str] | None = None, text_col: str = "text") -> DataFrame:
     """(doc struct, lang_pred, score) of every document."""
     model = docs.sparkSession.sparkContext.broadcast(trees)
+    kept = list(keep or docs.columns)
+    text = F.col(f"`{text_col}`")
     rows = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in (keep or docs.columns)]).alias("doc"),
-        F.coalesce(F.col(text_col), F.lit("")).alias("body"),
-        F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)).alias("letters"),
+        F.struct(*[F.col(f"`{c}`") for c in kept]).alias("doc"),
+        F.coalesce(text.rlike(r"\p{L}"), F.lit(False)).alias("letters"),
+        *([] if text_col in kept else [text.alias("body")]),  # a text goes to Python once
     )
+    text_at = kept.index(text_col) if text_col in kept else None
     return rows.mapInArrow(
-        _predict(model), f"doc {rows.schema['doc'].dataType.simpleString()}, lang_pred string, score double"
+        _predict(model, text_at), f"doc {rows.schema['doc'].dataType.simpleString()}, lang_pred string, score double"
     )
 
 
