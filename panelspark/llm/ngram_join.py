@@ -42,7 +42,6 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
@@ -54,13 +53,13 @@ SHINGLE, PERCENT = 4, 85
 #: Seeds of the orders; the first one makes the candidates.
 ORDERS = (11, 22, 33)
 #: Tokens whose frequency the orders know, and the least count in a buffer of that many tokens.
-RANKED, LOCAL_COUNT, BUFFER = 1 << 18, 3, 2 << 20
+RANKED, LOCAL_COUNT, BUFFER = 1 << 18, 3, 1 << 19
 #: Parts that a frequent token's rows are dealt to.
 SALTS = 64
 #: Size of the table that picks the texts to read again.
 FILTER_BITS = 1 << 25
 #: Word hashes a worker keeps.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 150_000
 
 _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
@@ -277,10 +276,10 @@ def _among(docs: DataFrame, ids: DataFrame) -> DataFrame:
     table[words.column("word").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
     wanted = spark.sparkContext.broadcast(table)
 
-    @F.pandas_udf("boolean")
-    def may_be_wanted(at: pd.Series) -> pd.Series:
-        p = at.to_numpy().astype(np.uint64)
-        return pd.Series(wanted.value[p >> np.uint64(6)] >> (p & np.uint64(63)) & np.uint64(1) == 1)
+    @F.arrow_udf("boolean")
+    def may_be_wanted(at: pa.Array) -> pa.Array:
+        p = at.to_numpy(zero_copy_only=False).astype(np.uint64)
+        return pa.array(wanted.value[p >> np.uint64(6)] >> (p & np.uint64(63)) & np.uint64(1) == 1)
 
     near = docs.where(F.col("id").isNotNull()).withColumn("at", place).where(may_be_wanted("at")).drop("at")
     return near.join(ids, "id", "left_semi")
