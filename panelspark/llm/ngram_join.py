@@ -53,7 +53,7 @@ SHINGLE, PERCENT = 4, 85
 #: Seeds of the orders; the first one makes the candidates.
 ORDERS = (11, 22, 33)
 #: Tokens whose frequency the orders know, and the least count in a buffer of that many tokens.
-RANKED, LOCAL_COUNT, BUFFER = 1 << 18, 3, 1 << 19
+RANKED, LOCAL_COUNT, BUFFER = 1 << 18, 2, 1 << 20
 #: Parts that a frequent token's rows are dealt to.
 SALTS = 64
 #: Size of the table that picks the texts to read again.
