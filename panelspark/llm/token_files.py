@@ -30,10 +30,10 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -41,14 +41,16 @@ from pyspark.sql import functions as F
 from panelspark.llm.elias_fano import EliasFano
 
 BLOCK_IDS = 1 << 20
-#: Units whose ids a worker keeps; beyond it the dictionary starts anew.
-CACHE_UNITS = 600_000
-#: Characters of text encoded together, and new units per call of the library.
-SLICE_CHARS, JOINED_UNITS = 2 << 20, 256
-
-#: White space other than the space and the line feed.
-_OTHER_SPACE = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
-_DOUBLE_SPACE = ("  ", " \n", "\n ", "\n\n")
+#: Units after which a worker's dictionary starts anew; the one before it is still looked at.
+CACHE_UNITS = 350_000
+#: Bytes of text encoded together, and new units per call of the library.
+SLICE_BYTES, JOINED_UNITS = 4 << 20, 64
+
+#: What keeps a text from being split at each space: a NUL, white space other than the space and the
+#: line feed, or two of these in a row or at an end.
+_OTHER = "".join(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n") + "\x00"
+_ODD = f"[{_OTHER}]|[ \\n][ \\n]|^ | $"
+_WHOLE = re.compile(f"[{_OTHER}]")
 _UNIT = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 #: A word with one mark behind it: two pre-tokens.
 _MARKED = re.compile(r"[^\W\d_]+[.,]")
@@ -73,6 +75,7 @@ class UnitEncoder:
         for token, i in vocabulary.items():
             self.token_bytes[i] = len(token)
         self.units: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.marks = dict(zip(".,", self._whole([".", ","]), strict=True))
 
     @classmethod
@@ -86,64 +89,81 @@ class UnitEncoder:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.asarray(x.ids, dtype=self.dtype).tobytes() for x in found]
 
-    @staticmethod
-    def _units(text: str) -> list[str]:
-        """Keys of the units of a text with single spaces and line feeds only: the
-        space before a unit is left out, a line feed is part of it."""
-        if not text:
-            return []
-        first, *rest = text.replace("\n", " \n").split(" ")
-        return [f"\x00{first}", *rest]
-
     @staticmethod
     def _text(key: str) -> str:
+        """A unit from its key: the space before a unit is left out of it, a line feed is part of it,
+        and the first unit of a text begins with a NUL."""
         return key[1:] if key[:1] == "\x00" else key if key[:1] == "\n" else f" {key}"
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian ids of each text."""
-        if len(self.units) > CACHE_UNITS:
-            self.units.clear()
-        keyed: list[list[str]] = []
-        odd: dict[int, list[str]] = {}
-        for i, text in enumerate(texts):
-            if "\x00" in text or any(c in text for c in _OTHER_SPACE):
-                odd[i] = [text]
-            elif text[:1] == " " or text[-1:] == " " or any(c in text for c in _DOUBLE_SPACE):
-                odd[i] = _UNIT.findall(text)
-            keyed.append([] if i in odd else self._units(text))
-        known = self.units
-        new = set(chain.from_iterable(keyed)).difference(known)
-        marked = [u for u in new if _MARKED.fullmatch(u)]
-        self._learn([u for u in {*new.difference(marked), *(u[:-1] for u in marked)} if u not in known])
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """Little-endian ids of each text.
+
+        Units are split off and told apart by Arrow; only the distinct ones of the slice
+        are looked up, and their ids are gathered into those of the texts."""
+        if len(self.units) > CACHE_UNITS:  # what is used goes on in the new dictionary
+            self.older, self.units = self.units, {}
+        odd = pc.match_substring_regex(texts, _ODD)
+        plain = texts.filter(pc.invert(odd))
+        marked = pc.binary_join_element_wise("\x00", pc.replace_substring(plain, "\n", " \n"), "")
+        lists = pc.split_pattern(marked, " ")
+        units = lists.flatten().dictionary_encode()
+        ids, sizes = self._found(units.dictionary.to_numpy(zero_copy_only=False).tolist())
+        starts = np.cumsum(sizes) - sizes
+        index = units.indices.to_numpy(zero_copy_only=False)
+        lengths = sizes[index]
+        ends = np.cumsum(lengths)
+        place = np.repeat(starts[index] - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)
+        data, width = ids[place].tobytes(), self.dtype.itemsize
+        counts = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+        cuts = [0, *(np.concatenate([[0], ends])[np.cumsum(counts)] * width).tolist()]
+        whole = iter([data[a:b] for a, b in zip(cuts, cuts[1:], strict=False)])
+        out = []
+        for i, is_odd in enumerate(odd.to_pylist()):
+            if is_odd:
+                text = texts[i].as_py()
+                out.append(b"".join(self._whole([text] if _WHOLE.search(text) else _UNIT.findall(text))))
+            else:
+                out.append(next(whole))
+        return out
+
+    def _found(self, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all ``keys`` in a row, and how many each has."""
+        known, older = self.units, self.older
+        found = list(map(known.get, keys))
+        unseen = {i: k for i, (k, v) in enumerate(zip(keys, found, strict=True)) if v is None}
+        if older:
+            known.update((k, older[k]) for k in unseen.values() if k in older)
+        new = [k for k in unseen.values() if k not in known]
+        marked = [u for u in new if u[-1:] in self.marks and _MARKED.fullmatch(u)]
+        self._learn(list({*new, *(u[:-1] for u in marked if u[:-1] not in known)}.difference(marked)))
         for u in marked:
             known[u] = known[u[:-1]] + self.marks[u[-1]]
-        out = [b"".join(map(known.__getitem__, units)) for units in keyed]
-        for i, units in odd.items():
-            out[i] = b"".join(self._whole(units))
-        return out
+        for i, k in unseen.items():
+            found[i] = known[k]
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // self.dtype.itemsize
+        return np.frombuffer(b"".join(found), self.dtype), sizes
 
     def _learn(self, keys: list[str]) -> None:
         """Encodes new units, many in one string, and cuts the ids where the units end."""
         apart = [k for k in keys if k[:1] == "\x00" or k[-1:] in ("", "\n")]
         if apart:
             self.units.update(zip(apart, self._whole([self._text(k) for k in apart]), strict=True))
-        lone = set(apart)
-        keys = [k for k in keys if k not in lone]
+            lone = set(apart)
+            keys = [k for k in keys if k not in lone]
         groups = [keys[i : i + JOINED_UNITS] for i in range(0, len(keys), JOINED_UNITS)]
-        strings = [[self._text(k) for k in g] for g in groups]
+        strings = [[k if k[0] == "\n" else f" {k}" for k in g] for g in groups]
         found = self.tokenizer.encode_batch_fast(["".join(s) for s in strings], add_special_tokens=False)
+        size = self.dtype.itemsize
         for group, parts, encoding in zip(groups, strings, found, strict=True):
             ids = np.asarray(encoding.ids, dtype=self.dtype)
-            ends = np.cumsum([len(p.encode()) for p in parts])
+            ends = np.cumsum([len(p) if p.isascii() else len(p.encode()) for p in parts])
             reached = np.cumsum(self.token_bytes[ids])
             cuts = np.searchsorted(reached, ends) + 1
             if cuts[-1] > len(reached) or not (reached[cuts - 1] == ends).all():  # a unit does not end at a token
                 self.units.update(zip(group, self._whole(parts), strict=True))
                 continue
-            data, size, start = ids.tobytes(), self.dtype.itemsize, 0
-            for key, cut in zip(group, cuts.tolist(), strict=True):
-                self.units[key] = data[start * size : cut * size]
-                start = cut
+            data, cuts = ids.tobytes(), (cuts * size).tolist()
+            self.units.update(zip(group, map(data.__getitem__, map(slice, [0, *cuts], cuts)), strict=True))
 
 
 def _write_blocks(definition, end_id: int, block_ids: int):
@@ -188,21 +208,15 @@ def _write_blocks(definition, end_id: int, block_ids: int):
     return run
 
 
-def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[str]]]:
-    """(ids, texts) of a bounded number of characters each."""
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, pa.Array]]:
+    """(ids, texts) of about ``SLICE_BYTES`` each, or of one text."""
     for batch in batches:
-        ids, column = batch.column(0).to_pylist(), batch.column(1)
-        start, size = 0, 0
-        texts: list[str] = []
-        for i in range(len(ids)):
-            text = column[i].as_py() or ""
-            texts.append(text)
-            size += len(text)
-            if size >= SLICE_CHARS:
-                yield ids[start : i + 1], texts
-                start, size, texts = i + 1, 0, []
-        if texts:
-            yield ids[start:], texts
+        ids, texts = batch.column(0).to_pylist(), pc.fill_null(batch.column(1), "")
+        filled = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)) // SLICE_BYTES
+        cuts = [0, *(np.flatnonzero(np.diff(filled)) + 1).tolist(), len(ids)]
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            if a < b:
+                yield ids[a:b], texts.slice(a, b - a)
 
 
 def write_token_files(
