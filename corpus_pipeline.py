@@ -12,7 +12,8 @@ session and reads it back as the next one's input.
                    that had words and have none left go.
 3. near duplicates of each group of linked documents (Jaccard >= 0.8 of their
                    5-word shingles) the one with the smallest id stays;
-                   documents without words stay.
+                   documents without words stay; of rows that repeat an id (or have
+                   none) with the same text one stays.
 4. source mixing   rows are repeated or left out, as the targets ask.
 5. byte-level BPE  ids of every text, and whether they decode to its bytes.
 
@@ -24,7 +25,7 @@ go in the first stage. ``n_chars`` follows the text where there is such a column
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from panelspark.llm.chunked_bpe import decode_documents, encode_documents
@@ -64,7 +65,9 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = jaccard_components(docs, shingle=SHINGLE, percent=PERCENT)
     stays = F.col("component_id").isNull() | (F.col("doc.doc_id") == F.col("component_id"))
-    return found.where(stays).select("doc.*")
+    same = Window.partitionBy("doc.doc_id", F.md5(F.col("doc.text").cast("binary"))).orderBy(F.xxhash64("doc"))
+    first = found.where(stays).withColumn("copy", F.row_number().over(same)).where(F.col("copy") == 1)
+    return first.select("doc.*")
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
