@@ -106,6 +106,15 @@ def test_near_duplicates_between_the_thresholds(spark):
     assert left < {i for i, c in plain_components(rows).items() if c == i}
 
 
+def test_one_row_of_an_id_and_text_stays(spark):
+    long, other = "a b c d e f " * 20, "g h i j k " * 20
+    rows = [(1, long), (1, long), (1, other), (2, None), (2, None), (2, ""), (None, "x y"), (None, "x y"), (None, "z"), (3, long)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    left = [(r.doc_id, r.text) for r in corpus_pipeline.near_duplicate_stage(spark, docs.repartition(4), ROOT).collect()]
+    assert sorted(map(repr, left)) == sorted(map(repr, set(rows) - {(3, long)}))
+
+
 def test_mix(stages):
     before = {r[0]: r for r in table(stages[3][0])}
     after = table(stages[3][1])
