@@ -53,14 +53,11 @@ SHINGLE, PERCENT = 4, 85
 #: Seeds of the orders; the first one makes the candidates.
 ORDERS = (11, 22, 33)
 #: Tokens whose frequency the orders know, and the least count in a buffer of that many tokens.
-RANKED, LOCAL_COUNT, BUFFER = 1 << 18, 2, 1 << 20
+RANKED, LOCAL_COUNT, BUFFER = 1 << 18, 3, 2 << 20
 #: Parts that a frequent token's rows are dealt to.
 SALTS = 64
 #: Size of the table that picks the texts to read again.
 FILTER_BITS = 1 << 25
-#: Word hashes a worker keeps.
-CACHE_WORDS = 150_000
-
 _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
 
@@ -72,23 +69,12 @@ def mixed(x: np.ndarray, seed: int) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class _Words(dict):
-    def __missing__(self, word: bytes) -> int:
-        self[word] = value = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
-_words = _Words()
-
-
 def shingles(text: str, size: int = SHINGLE) -> np.ndarray:
     """Sorted hashes of the distinct shingles of a text."""
     words = text.encode().lower().split()  # of bytes: only A-Z change, only ASCII white space splits
     if not words:
         return np.zeros(0, dtype=np.uint64)
-    if len(_words) > CACHE_WORDS:
-        _words.clear()
-    one = np.fromiter(map(_words.__getitem__, words), np.uint64, len(words))
+    one = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
     width = min(size, len(one))
     total = np.full(len(one) - width + 1, width, dtype=np.uint64)
     for i in range(width):
@@ -139,12 +125,15 @@ def _profile(size: int):
         count = 0
 
         def counted() -> pa.RecordBatch:
-            tokens, n = np.unique(np.concatenate(held), return_counts=True)
-            often = n >= LOCAL_COUNT
+            tokens = np.concatenate(held)
             held.clear()
+            tokens.sort()
+            first = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
+            n = np.diff(first, append=len(tokens))
+            often = n >= LOCAL_COUNT
             rows = int(often.sum())
             return pa.RecordBatch.from_arrays(
-                [pa.array(_signed(tokens[often])), pa.array(n[often]), *[pa.nulls(rows, pa.int64())] * 3],
+                [pa.array(_signed(tokens[first[often]])), pa.array(n[often]), *[pa.nulls(rows, pa.int64())] * 3],
                 names=["token", "n", "doc_id", "s1", "s2"],
             )
 
