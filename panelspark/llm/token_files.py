@@ -42,9 +42,9 @@ from panelspark.llm.elias_fano import EliasFano
 
 BLOCK_IDS = 1 << 20
 #: Units after which a worker's dictionary starts anew; the one before it is still looked at.
-CACHE_UNITS = 350_000
+CACHE_UNITS = 450_000
 #: Bytes of text encoded together, and new units per call of the library.
-SLICE_BYTES, JOINED_UNITS = 4 << 20, 64
+SLICE_BYTES, JOINED_UNITS = 8 << 20, 64
 
 #: What keeps a text from being split at each space: a NUL, white space other than the space and the
 #: line feed, or two of these in a row or at an end.
@@ -108,14 +108,15 @@ class UnitEncoder:
         lists = pc.split_pattern(marked, " ")
         units = lists.flatten().dictionary_encode()
         ids, sizes = self._found(units.dictionary.to_numpy(zero_copy_only=False).tolist())
-        starts = np.cumsum(sizes) - sizes
+        starts = np.cumsum(sizes, dtype=np.int32) - sizes
         index = units.indices.to_numpy(zero_copy_only=False)
         lengths = sizes[index]
-        ends = np.cumsum(lengths)
-        place = np.repeat(starts[index] - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)
+        ends = np.cumsum(lengths, dtype=np.int32)
+        place = np.repeat(starts[index] - (ends - lengths), lengths)
+        place += np.arange(len(place), dtype=np.int32)
         data, width = ids[place].tobytes(), self.dtype.itemsize
         counts = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
-        cuts = [0, *(np.concatenate([[0], ends])[np.cumsum(counts)] * width).tolist()]
+        cuts = [0, *(np.concatenate([[0], ends]).astype(np.int64)[np.cumsum(counts)] * width).tolist()]
         whole = iter([data[a:b] for a, b in zip(cuts, cuts[1:], strict=False)])
         out = []
         for i, is_odd in enumerate(odd.to_pylist()):
@@ -140,7 +141,7 @@ class UnitEncoder:
             known[u] = known[u[:-1]] + self.marks[u[-1]]
         for i, k in unseen.items():
             found[i] = known[k]
-        sizes = np.fromiter(map(len, found), np.int64, len(found)) // self.dtype.itemsize
+        sizes = np.fromiter(map(len, found), np.int32, len(found)) // np.int32(self.dtype.itemsize)
         return np.frombuffer(b"".join(found), self.dtype), sizes
 
     def _learn(self, keys: list[str]) -> None:
