@@ -236,9 +236,8 @@ def write_token_files(
         definition = docs.sparkSession.sparkContext.broadcast(f.read())
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("body"))
     ordered = rows.repartitionByRange("id").sortWithinPartitions("id", "body")
-    ordered.mapInArrow(_write_blocks(definition, end_id, block_ids), BLOCK_SCHEMA).write.option(
-        "compression", "zstd"
-    ).parquet(path)
+    blocks = ordered.mapInArrow(_write_blocks(definition, end_id, block_ids), BLOCK_SCHEMA)
+    blocks.write.option("compression", "snappy").parquet(path)
 
 
 def _ends(code: bytes) -> np.ndarray:
