@@ -237,7 +237,7 @@ def write_token_files(
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("body"))
     ordered = rows.repartitionByRange("id").sortWithinPartitions("id", "body")
     blocks = ordered.mapInArrow(_write_blocks(definition, end_id, block_ids), BLOCK_SCHEMA)
-    blocks.write.option("compression", "snappy").parquet(path)
+    blocks.write.option("compression", "zstd").parquet(path)
 
 
 def _ends(code: bytes) -> np.ndarray:
