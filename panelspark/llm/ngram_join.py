@@ -20,9 +20,10 @@ Steps, none of which pairs up the members of a group:
    number of pairs that is linear in the prefixes. What passes the filters is
    verified, and linked nodes get a component. That settles groups of copies,
    however large.
-4. Within a token that stands early enough in both prefixes to be the first shared
-   one of a link (``_may_be_first``), pairs of different components are the candidates
-   that are left; they pass the same filters and are verified. No link between
+4. Pairs of different components are the candidates that are left. They are taken
+   from the first token they share only: one that stands early enough in both
+   prefixes (``_may_be_first``) and has no common token among the ``EARLIER`` ones
+   before it. They pass the same filters and are verified. No link between
    different components is lost, and those inside one change nothing.
 
 Filters before verification: sizes; the number of prefix tokens shared under the
@@ -56,6 +57,8 @@ ORDERS = (11, 22, 33)
 RANKED, LOCAL_COUNT, BUFFER = 1 << 18, 3, 2 << 20
 #: Parts that a frequent token's rows are dealt to.
 SALTS = 64
+#: Tokens before one that tell whether a pair has met already; any number is right.
+EARLIER = 4
 #: Size of the table that picks the texts to read again.
 FILTER_BITS = 1 << 25
 _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
@@ -346,12 +349,14 @@ def jaccard_components(
         placed.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"))
         .where("low < high").select("token")
     )
-    open_rows = saved(placed.join(mixed_tokens, "token", "left_semi"))
+    order = Window.partitionBy("node").orderBy("place")
+    earlier = F.array_compact(F.array(*[F.lag("token", i).over(order) for i in range(1, EARLIER + 1)]))
+    open_rows = saved(placed.join(mixed_tokens, "token", "left_semi").withColumn("earlier", earlier))
     side = lambda x: open_rows.select(
         "token", F.col("node").alias(x),
-        *[F.col(c).alias(f"{c[0]}_{x}") for c in ("n", "place", "component")],
+        *[F.col(c).alias(f"{c[0]}_{x}") for c in ("n", "place", "component", "earlier")],
     )
-    others = (F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b"))
+    others = (F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b")) & ~F.arrays_overlap("e_a", "e_b")
     met = side("a").join(side("b"), "token").where(others & _sizes_fit(percent) & _may_be_first(percent))
     candidates = stored(met.select("a", "b").distinct().join(stars, ["a", "b"], "left_anti"), "front-pairs")
     shared_tokens = candidates.join(side("a"), "a").join(side("b"), ["b", "token"])
