@@ -17,11 +17,44 @@ def pairs_at(cosine, n, size, rng):
 
 
 @pytest.mark.parametrize("size", [64, 96, 33])
-def test_recall_at_the_threshold(size):
-    caps = S.Caps(size, S.CODEWORDS, S.ROTATIONS, S.HEIGHT)
-    x, y = pairs_at(0.95, 500, size, np.random.default_rng(size))
-    met = [len(np.intersect1d(a, b)) > 0 for a, b in zip(caps.decode(x), caps.decode(y), strict=True)]
-    assert np.mean(met) >= 0.985
+@pytest.mark.parametrize("vectors", [500, 50_000, 1_000_000])
+def test_recall_at_the_threshold(size, vectors):
+    caps = S.Caps(size, S.cap_share(vectors))
+    x, y = pairs_at(0.95, 1000, size, np.random.default_rng(size))
+    lists = caps.decode(x)
+    met = [len(np.intersect1d(a, b)) > 0 for a, b in zip(lists, caps.decode(y), strict=True)]
+    assert np.mean(met) >= 0.998
+    # lists keep their length, whatever the number of vectors
+    assert S.LISTS / 2 <= np.mean([len(a) for a in lists]) <= S.LISTS * 3 / 2
+
+
+def test_decode_finds_every_cap_that_a_vector_exceeds():
+    caps = S.Caps(33, S.cap_share(2000))
+    unit = S._unit(np.random.default_rng(1).normal(size=(20, 33)))
+    for v, found in zip(unit, caps.decode(unit), strict=True):
+        want = set()
+        for r, (turn, code) in enumerate(zip(caps.turns, caps.codes, strict=True)):
+            turned = np.pad(v, (0, 1)) @ turn
+            scores = (code[0] @ turned[:17])[:, None] + (code[1] @ turned[17:])[None, :]
+            flat = scores.ravel()
+            want |= {r * caps.codewords**2 + int(i) for i in np.flatnonzero(flat >= caps.least * np.sqrt(2))}
+            want.add(r * caps.codewords**2 + int(flat.argmax()))
+        assert sorted(want) == (found - (33 << 40)).tolist()
+
+
+@pytest.mark.parametrize("share", [0.0001, 0.01, 0.05])
+def test_cap_holds_its_share(share):
+    unit = S._unit(np.random.default_rng(2).normal(size=(200_000, 24)))
+    assert (unit[:, 0] >= S.cap_cosine(24, share)).mean() == pytest.approx(share, rel=0.4 if share < 0.001 else 0.05)
+
+
+def test_recall_of_the_operator(spark):
+    """Pairs planted at the threshold, a little above to be safe from rounding, found through the operator."""
+    x, y = pairs_at(0.9501, 1500, 64, np.random.default_rng(9))
+    data = [(2 * i + side, v[i].tolist(), 0) for i in range(1500) for side, v in enumerate((x, y))]
+    got = S.near_duplicates(spark.createDataFrame(data, "vec_id long, embedding array<double>, node long").repartition(8))
+    pairs = got.where("n_links = 1 and component_id = vec_id - vec_id % 2").count()
+    assert pairs >= 0.998 * 3000
 
 
 def rows():
