@@ -233,20 +233,16 @@ def _may_be_first(percent: int) -> Column:
     return F.least(F.col("n_a") - F.col("p_a"), F.col("n_b") - F.col("p_b")) >= _needed(percent)
 
 
-def _enough(pairs: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) that share enough prefix tokens under the first order for a link.
+def _enough(percent: int) -> Column:
+    """Whether ``shared`` prefix tokens under the first order are enough for a link.
 
-    ``pairs``: a row per shared token, with the sizes n_a and n_b. Of two sets, let x be the one
-    whose prefix ends first in the order. All common tokens up to that end are in both prefixes; the
-    others are among the tokens of x behind its prefix. So the intersection is at most
-    the number of shared prefix tokens plus the longer of both rests.
+    Of two sets, let x be the one whose prefix ends first in the order. All common tokens up to that
+    end are in both prefixes; the others are among the tokens of x behind its prefix. So the
+    intersection is at most the number of shared prefix tokens plus the longer of both rests.
     """
     least = lambda n: F.ceil(n * percent / 100)
     rest = F.greatest(least(F.col("n_a")), least(F.col("n_b"))) - 1
-    return (
-        pairs.where(_sizes_fit(percent)).groupBy("a", "b", "n_a", "n_b").agg(F.count("*").alias("shared"))
-        .where(F.col("shared") + rest >= _needed(percent)).select("a", "b").distinct()
-    )
+    return F.col("shared") + rest >= _needed(percent)
 
 
 def _among(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -338,7 +334,11 @@ def jaccard_components(
         F.max("node").alias("z"),
     ).where("first.a < z")
     near = buckets.join(least.select("token", "first.*"), "token").where("node > a")
-    stars = stored(_enough(near.select("a", "n_a", F.col("node").alias("b"), F.col("n").alias("n_b")), percent), "star-pairs")
+    met = near.select("a", "n_a", F.col("node").alias("b"), F.col("n").alias("n_b")).where(_sizes_fit(percent))
+    stars = stored(
+        met.groupBy("a", "b", "n_a", "n_b").agg(F.count("*").alias("shared")).where(_enough(percent)).select("a", "b"),
+        "star-pairs",
+    )
     links = _verified(stars, own, orders, shingle, percent)
 
     settled = saved(connected_components(links))
@@ -359,8 +359,13 @@ def jaccard_components(
     others = (F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b")) & ~F.arrays_overlap("e_a", "e_b")
     met = side("a").join(side("b"), "token").where(others & _sizes_fit(percent) & _may_be_first(percent))
     candidates = stored(met.select("a", "b").distinct().join(stars, ["a", "b"], "left_anti"), "front-pairs")
-    shared_tokens = candidates.join(side("a"), "a").join(side("b"), ["b", "token"])
-    remaining = stored(_enough(shared_tokens.select("a", "b", "n_a", "n_b"), percent), "other-pairs")
+    # the open prefix tokens of a node in one row: a pair stays one row while its common ones are counted
+    lists = saved(open_rows.groupBy("node", "n").agg(F.collect_list("token").alias("tokens")))
+    held = lambda x: lists.select(*[F.col(c).alias(x if c == "node" else f"{c}_{x}") for c in lists.columns])
+    counted = candidates.join(held("a"), "a").join(held("b"), "b").withColumn(
+        "shared", F.size(F.array_intersect("tokens_a", "tokens_b"))
+    )
+    remaining = stored(counted.where(_enough(percent)).select("a", "b"), "other-pairs")
     more = _verified(remaining, own, orders, shingle, percent)
 
     final = connected_components(
