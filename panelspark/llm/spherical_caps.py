@@ -15,8 +15,8 @@ Caps and directions follow the number of vectors: a cap holds the share of the
 sphere that gives it ``members`` of them, and there are as many directions as
 put a vector into ``lists`` caps (for vectors in all directions alike). So filters keep
 their size, lists keep their length, and what is shuffled is linear in the
-vectors. Of pairs at cosine 0.95 at least 0.998 meet (measured 0.999 and more for
-500 to 2,000,000 vectors of length 33 and 64, see the tests), closer ones more often.
+vectors. Of random pairs at cosine 0.95, 0.998 or more meet (tested for 500 to
+1,000,000 vectors of length 33, 64 and 96), closer ones more often.
 
 Equal vectors are one node with a weight. The members of a filter are dealt to
 blocks of about ``BLOCK`` and the blocks compared in pairs as matrix products, so no
