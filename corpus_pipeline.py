@@ -77,6 +77,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ranks, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
     encoded = encode_documents(docs, ranks, pattern, keep=["doc_id", "lang", "source", "text"])
+    encoded = stored(encoded, "encoded-documents")  # a task has one Python worker at a time
     back = decode_documents(encoded, ranks, pattern)
     return back.select(
         "doc.doc_id",

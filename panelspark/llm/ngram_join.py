@@ -251,25 +251,20 @@ def _among(docs: DataFrame, ids: DataFrame) -> DataFrame:
     The semi join would shuffle every text, so texts are dropped before it by a
     table of ``FILTER_BITS`` bits, one set for the hash of each wanted id. Its
     size is the same for any number of ids; one that is too full only lets more texts through.
+    It is looked up by a join: a Python function here would need one more Python worker a task.
     """
-    spark = docs.sparkSession
     place = F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS))
     words = (
         ids.select(place.alias("p"))
         .groupBy(F.expr("p div 64").alias("word"))
         .agg(F.bit_or(F.expr("shiftleft(1L, cast(p % 64 as int))")).alias("bits"))
-        .toArrow()
     )  # at most FILTER_BITS / 64 rows
-    table = np.zeros(FILTER_BITS // 64, dtype=np.uint64)
-    table[words.column("word").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
-    wanted = spark.sparkContext.broadcast(table)
-
-    @F.arrow_udf("boolean")
-    def may_be_wanted(at: pa.Array) -> pa.Array:
-        p = at.to_numpy(zero_copy_only=False).astype(np.uint64)
-        return pa.array(wanted.value[p >> np.uint64(6)] >> (p & np.uint64(63)) & np.uint64(1) == 1)
-
-    near = docs.where(F.col("id").isNotNull()).withColumn("at", place).where(may_be_wanted("at")).drop("at")
+    near = (
+        docs.where(F.col("id").isNotNull()).withColumn("at", place).withColumn("word", F.expr("at div 64"))
+        .join(F.broadcast(words), "word")
+        .where(F.expr("shiftright(bits, cast(at % 64 as int)) & 1L") == 1)
+        .drop("at", "word", "bits")
+    )
     return near.join(ids, "id", "left_semi")
 
 
