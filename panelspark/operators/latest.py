@@ -24,15 +24,26 @@ def latest_global(df: DataFrame, date: str = "date", where: Column | None = None
 
 
 def aggregate_latest(
-    df: DataFrame, aggregates: Sequence[Column], by: Sequence[str] = (), date: str = "date"
+    df: DataFrame,
+    aggregates: Sequence[Column],
+    by: Sequence[str] = (),
+    date: str = "date",
+    distinct: tuple[str, Column] | None = None,
 ) -> DataFrame:
     """``aggregates`` over the rows at the table's latest date, per ``by``.
 
     One pass: the aggregates are taken per date (map-side combined), and of that
     small result the last date of each group is kept, if it is the last of all.
     Without ``by`` there is one row also for an empty input, as with any global aggregate.
+
+    ``distinct`` (name, column) also counts the column's distinct values at that date. A distinct
+    count per date would keep every value of every date apart. Each value's last date is enough, a
+    row per value, and the same pass takes it (grouping sets).
     """
-    daily = df.groupBy(*by, date).agg(*aggregates)
+    if distinct is None:
+        daily = df.groupBy(*by, date).agg(*aggregates)
+    else:
+        daily = _daily_with_distinct(df, aggregates, by, date, *distinct)
     names = daily.columns[len(by) + 1 :]
     last = daily.groupBy(*by).agg(F.max_by(F.struct(*names), date).alias("_at"), F.max(date).alias("_date"))
     if by:
@@ -41,6 +52,28 @@ def aggregate_latest(
     return last.select(*by, *[F.col(f"_at.{n}").alias(n) for n in names])
 
 
+def _daily_with_distinct(
+    df: DataFrame, aggregates: Sequence[Column], by: Sequence[str], date: str, name: str, value: Column
+) -> DataFrame:
+    """(by, date, ``name``, aggregates); ``name`` counts the values that are seen on that date for the last time."""
+    rows = df.withColumn("_value", value)
+    seen = F.when(F.col("_value").isNotNull(), F.col(date))
+    both = rows.groupingSets([[*by, date], [*by, "_value"]], *by, date, "_value").agg(
+        F.grouping(date).alias("_of_value"), F.max(seen).alias("_seen"), *aggregates
+    )
+    names = both.columns[len(by) + 4 :]
+    of_value = F.col("_of_value") == 1
+    return (
+        both.withColumn("_day", F.when(of_value, F.col("_seen")).otherwise(F.col(date)))
+        .groupBy(*by, "_day")
+        .agg(
+            F.count(F.when(of_value & F.col("_value").isNotNull(), True)).alias(name),
+            F.first(F.when(~of_value, F.struct(*names)), ignorenulls=True).alias("_of_day"),
+        )
+        .select(*by, F.col("_day").alias(date), name, "_of_day.*")
+    )
+
+
 def latest_per_entity(
     df: DataFrame,
     entity: str = "location",

@@ -210,16 +210,17 @@ def consistency_check(deaths: DataFrame, spec: PanelSpec = DEFAULT) -> DataFrame
 def latest_summary(deaths: DataFrame, spec: PanelSpec = DEFAULT) -> DataFrame:
     """Totals and global rates over the rows at the table's latest date.
 
-    Summed per date in one pass; the last date is taken from the sums."""
+    Summed per date in one pass; the last date is taken from the sums. The entities are counted
+    by their own last dates, which the same pass takes."""
     totals = aggregate_latest(
         grouped_rows(deaths, spec),
         [
-            F.count_distinct(spec.entity).alias("n"),
             F.sum("population").alias("p"),
             F.sum("total_cases").alias("c"),
             F.sum("total_deaths").alias("d"),
         ],
         date=spec.date,
+        distinct=("n", F.col(spec.entity)),
     )
     return totals.select(
         F.lit(bands.GLOBAL_SUMMARY).alias("metric"),
