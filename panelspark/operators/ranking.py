@@ -83,7 +83,8 @@ def positions_of(
     range, and a histogram of the ranges, summed on the map side, is all that
     is shuffled: (number of rankings) * (number of selected rows + 1) counts. The position of a
     selected row is one more than the sum of the ranges ahead of it. ``df`` is read
-    once, in parallel, and no task sorts it.
+    once, in parallel, and no task sorts it: the array goes along as a key of the first ranking's
+    ranges, since an aggregate of it would have every row sorted with a copy of its own.
     """
     metrics = [m for _, m in rankings]
     chosen = selected.agg(F.collect_list(F.struct(*selected.columns)).alias("s")).select("s").scalar()
@@ -103,9 +104,12 @@ def positions_of(
     counts = (
         df.select(F.struct(key, *dict.fromkeys(metrics)).alias("me"), chosen.alias("chosen"))
         .select("chosen", F.explode(ranges).alias("at"))
-        .groupBy("at.ranking", "at.range")
-        .agg(F.count(F.lit(1)).alias("rows"), F.first("chosen").alias("chosen"))
-        .agg(F.collect_list(F.struct("ranking", "range", "rows")).alias("counts"), F.first("chosen").alias("chosen"))
+        .groupBy("at.ranking", "at.range", F.when(F.col("at.ranking") == 0, F.col("chosen")).alias("chosen"))
+        .agg(F.count(F.lit(1)).alias("rows"))
+        .agg(
+            F.collect_list(F.struct("ranking", "range", "rows")).alias("counts"),
+            F.first("chosen", ignorenulls=True).alias("chosen"),
+        )
     )
 
     def position(i: int, metric: str) -> Column:

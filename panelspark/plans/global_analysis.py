@@ -72,14 +72,18 @@ def entity_rankings(deaths: DataFrame, k: int = 20, spec: PanelSpec = DEFAULT) -
     ``k`` by cases or by deaths.
 
     Rankings use the unrounded values, descending, ties broken by entity name.
-    One pass over the panel keeps each entity's last row. The entities that
+    One pass over the panel keeps each entity's last row; numbers and a date are all that it
+    aggregates, so no task sorts the panel for it (it would, for a struct or a string). The entities that
     have one on the table's last day are chosen from and ranked: only the at most 2 ``k``
     of the result need their positions, which a histogram of ranges gives
     (``positions_of``); no task sorts all entities.
     """
     measures = ("population", "total_cases", "total_deaths")
+    back = -F.unix_date(spec.date)
     last = (
         deaths.where(F.col(spec.group).isNotNull())
+        .groupBy(spec.entity, spec.group)
+        .agg(F.max(spec.date).alias(spec.date), *[F.min_by(m, back).alias(m) for m in measures])
         .groupBy(spec.entity)
         .agg(F.max_by(F.struct(spec.date, spec.group, *measures), spec.date).alias("_last"))
         .select(spec.entity, "_last.*")
@@ -129,7 +133,6 @@ def group_percentiles(deaths: DataFrame, spec: PanelSpec = DEFAULT) -> DataFrame
     stats = aggregate_latest(
         grouped_rows(deaths, spec),
         [
-            F.count_distinct(among(F.col(spec.entity))).alias("countries_count"),
             F.round(F.avg(among(pct_ratio("total_cases", "population"))), 2).alias("avg_infection_rate"),
             F.round(F.avg(among(pct_ratio("total_deaths", "population"))), 2).alias("avg_death_rate"),
             F.round(F.avg(among(pct_ratio("total_deaths", "total_cases"))), 2).alias("avg_fatality_rate"),
