@@ -142,6 +142,7 @@ def group_percentiles(deaths: DataFrame, spec: PanelSpec = DEFAULT) -> DataFrame
         ],
         by=[spec.group],
         date=spec.date,
+        distinct=("countries_count", among(F.col(spec.entity))),
     ).where("countries_count > 0")
 
     def pct_rank(col: str):
