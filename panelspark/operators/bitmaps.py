@@ -6,8 +6,9 @@ per group has a bit for each id instead: all conditions are gathered in one
 aggregation, without copies, and bitmaps of parts (days) merge into those of any
 larger part (weeks, overlapping windows, everything), which distinct counts do not.
 
-An id belongs to a bucket of 32,768 ids; a bitmap of one bucket has 4 KB, so ids should be
-dense. Groups are summed on the map side.
+An id belongs to a bucket of 64 ids, whose bitmap is one number. Numbers are aggregated
+in place, so the map side sums up without sorting, and a group takes memory only for buckets with
+ids in them. Rows that meet no condition only keep their group: they all go into bucket 0.
 """
 
 from __future__ import annotations
@@ -20,22 +21,23 @@ from pyspark.sql import functions as F
 
 def id_bitmaps(df: DataFrame, keys: Sequence[str], id_col: str, conditions: Mapping[str, Column]) -> DataFrame:
     """(keys, bucket, a bitmap per condition): the ids of the rows for which it holds. NULL ids are in none."""
-    bit = F.bitmap_bit_position(F.col(id_col))
-    return (
-        df.where(F.col(id_col).isNotNull())
-        .groupBy(*keys, F.bitmap_bucket_number(F.col(id_col)).alias("bucket"))
-        .agg(*[F.bitmap_construct_agg(F.when(met, bit)).alias(name) for name, met in conditions.items()])
+    at = F.col(id_col).cast("long")
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), at.bitwiseAND(F.lit(63)).cast("int"))
+    known = df.where(F.col(id_col).isNotNull())
+    met_any = F.coalesce(F.greatest(*[c.cast("boolean") for c in conditions.values()], F.lit(False)), F.lit(False))
+    return known.groupBy(*keys, F.when(met_any, F.shiftright(at, 6)).otherwise(F.lit(0)).alias("bucket")).agg(
+        *[F.coalesce(F.bit_or(F.when(met, bit)), F.lit(0)).alias(name) for name, met in conditions.items()]
     )
 
 
 def merged(bitmaps: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
     """The union of the bitmaps of each group of ``keys``, by bucket."""
-    return bitmaps.groupBy(*keys, "bucket").agg(*[F.bitmap_or_agg(n).alias(n) for n in names])
+    return bitmaps.groupBy(*keys, "bucket").agg(*[F.bit_or(n).alias(n) for n in names])
 
 
 def distinct_ids(bitmaps: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
     """(keys, number of distinct ids per bitmap), merged over all other columns."""
-    return merged(bitmaps, keys, names).groupBy(*keys).agg(*[F.sum(F.bitmap_count(n)).alias(n) for n in names])
+    return merged(bitmaps, keys, names).groupBy(*keys).agg(*[F.sum(F.bit_count(n)).alias(n) for n in names])
 
 
 def trailing_days(bitmaps: DataFrame, days: int, date: str = "date") -> DataFrame:

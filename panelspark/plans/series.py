@@ -8,7 +8,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -85,15 +85,6 @@ def _stored_global_trend(spark: SparkSession, root: str, start_date: str) -> Dat
 
 # --- distinct counts ----------------------------------------------------------
 
-def _reports(tables: Tables) -> DataFrame:
-    """The supplier panel's own rows with the suppliers' keys."""
-    spark, root = tables.spark, tables.root
-    d = grouped_rows(deaths_panel(spark, root, "supplier", tables)).select(
-        "continent", "location", "date", "new_cases", "new_deaths"
-    )
-    return d.join(entities(spark, root, "supplier", tables).select("k", "location"), "location")
-
-
 def _reporting():
     return {
         "reporting_cases": F.col("new_cases").isNotNull(),
@@ -102,19 +93,39 @@ def _reporting():
     }
 
 
+def _reports(tables: Tables, key: str, value: Column) -> DataFrame:
+    """(key, continent, supplier's key k, a flag per condition): the reports of the supplier panel.
+
+    The panel's rows without a report are not joined to the suppliers: a row stands for those of
+    each group, with k 0 and no flag.
+    """
+    spark, root = tables.spark, tables.root
+    flags = {name: F.coalesce(met, F.lit(False)) for name, met in _reporting().items()}
+    marked = (
+        grouped_rows(deaths_panel(spark, root, "supplier", tables)).where(F.col("location").isNotNull())
+        .select("continent", value.alias(key), "location", *[met.alias(name) for name, met in flags.items()])
+    )
+    owner = F.when(F.greatest(*flags), F.col("location"))
+    reports = marked.groupBy("continent", key, owner.alias("location")).agg(*[F.max(n).alias(n) for n in flags])
+    ids = entities(spark, root, "supplier", tables).select("k", "location").where(F.col("k").isNotNull())
+    return reports.join(ids, "location", "left").withColumn("k", F.coalesce("k", F.lit(0).cast("long")))
+
+
 def _rolling_distinct(spark: SparkSession, root: str) -> DataFrame:
     """Distinct reporting entities over each day's trailing 7 days."""
     tables = Tables(spark, root)
-    daily = id_bitmaps(_reports(tables), ["date"], "k", _reporting())
-    counts = distinct_ids(trailing_days(daily, 7), ["date"], list(_reporting()))
+    names = list(_reporting())
+    reports = _reports(tables, "date", F.col("date"))
+    daily = id_bitmaps(reports, ["date"], "k", {n: F.col(n) for n in names})
+    counts = distinct_ids(trailing_days(daily, 7), ["date"], names)
     return counts.where(F.col("date") <= calendar(tables)[1])
 
 
 def _monthly_distinct(spark: SparkSession, root: str) -> DataFrame:
     """Distinct reporting entities per group and month, and per group over all months (month NULL)."""
     names = list(_reporting())
-    reports = _reports(Tables(spark, root)).withColumn("month", F.trunc("date", "month"))
-    monthly = id_bitmaps(reports, ["continent", "month"], "k", _reporting())
+    reports = _reports(Tables(spark, root), "month", F.trunc("date", "month"))
+    monthly = id_bitmaps(reports, ["continent", "month"], "k", {n: F.col(n) for n in names})
     whole = distinct_ids(monthly, ["continent"], names).withColumn("month", F.lit(None).cast("date"))
     return distinct_ids(monthly, ["continent", "month"], names).unionByName(whole)
 
