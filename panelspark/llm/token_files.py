@@ -15,7 +15,7 @@ Encoding goes by units: a run of spaces and line feeds with the text up to the
 next run. A unit always begins at a pre-token boundary of the tokenizer's
 pattern, and what is inside does not look past its end, so units can be encoded
 apart; each distinct one is encoded once per worker while it stays in a bounded
-dictionary. Texts with any other white space are encoded whole. Names of special tokens in
+dictionary, a word and the marks behind it as two. Texts with any other white space are encoded whole. Names of special tokens in
 a text are encoded as the library does by default, as that token.
 
 Defined results: a null or empty text has the end id only; null document ids
@@ -41,10 +41,10 @@ from pyspark.sql import functions as F
 from panelspark.llm.elias_fano import EliasFano
 
 BLOCK_IDS = 1 << 20
-#: Units after which a worker's dictionary starts anew; the one before it is still looked at.
-CACHE_UNITS = 450_000
-#: Bytes of text encoded together, and new units per call of the library.
-SLICE_BYTES, JOINED_UNITS = 8 << 20, 64
+#: Units, and bytes of them, above which a worker's dictionary is cut to the half used last.
+CACHE_UNITS, CACHE_BYTES = 1_000_000, 32 << 20
+#: Bytes of text encoded together, and new units per string given to the library.
+SLICE_BYTES, JOINED_UNITS = 16 << 20, 64
 
 #: What keeps a text from being split at each space: a NUL, white space other than the space and the
 #: line feed, or two of these in a row or at an end.
@@ -52,8 +52,9 @@ _OTHER = "".join(c for c in map(chr, range(0x3001)) if c.isspace() and c not in
 _ODD = f"[{_OTHER}]|[ \\n][ \\n]|^ | $"
 _WHOLE = re.compile(f"[{_OTHER}]")
 _UNIT = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
-#: A word with one mark behind it: two pre-tokens.
-_MARKED = re.compile(r"[^\W\d_]+[.,]")
+#: A unit of a word (Latin or Cyrillic letters) with marks behind it: the marks are a pre-token of their own.
+_WORD = "^[\\n\\x00]?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f\u0400-\u0481\u048a-\u04ff]+"
+_MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
 
 BLOCK_SCHEMA = "shard int, block int, before long, n_docs long, n_ids long, width int, doc_ids array<long>, ends binary, ids binary"
 
@@ -74,9 +75,15 @@ class UnitEncoder:
         self.token_bytes = np.zeros(max(vocabulary.values()) + 1, dtype=np.int64)
         for token, i in vocabulary.items():
             self.token_bytes[i] = len(token)
-        self.units: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-        self.marks = dict(zip(".,", self._whole([".", ","]), strict=True))
+        special = self.tokenizer.get_added_tokens_decoder()
+        for i, token in special.items():
+            self.token_bytes[i] = len(token.content.encode())
+        self.special = "|".join(re.escape(token.content) for token in special.values())
+        # the dictionary: unit i has sizes[i] of the ids from starts[i] on, and was last used in slice used[i]
+        self.units = pa.array([], pa.string())
+        self.ids = np.empty(0, self.dtype)
+        self.starts, self.sizes, self.used = (np.empty(0, np.int32) for _ in range(3))
+        self.slices = 0
 
     @classmethod
     def shared(cls, definition: str) -> UnitEncoder:
@@ -85,36 +92,25 @@ class UnitEncoder:
             cls._made[key] = cls(definition)
         return cls._made[key]
 
-    def _whole(self, texts: list[str]) -> list[bytes]:
+    def _whole(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.asarray(x.ids, dtype=self.dtype).tobytes() for x in found]
-
-    @staticmethod
-    def _text(key: str) -> str:
-        """A unit from its key: the space before a unit is left out of it, a line feed is part of it,
-        and the first unit of a text begins with a NUL."""
-        return key[1:] if key[:1] == "\x00" else key if key[:1] == "\n" else f" {key}"
+        return [np.asarray(x.ids, dtype=self.dtype) for x in found]
 
     def encode(self, texts: pa.Array) -> list[bytes]:
         """Little-endian ids of each text.
 
-        Units are split off and told apart by Arrow; only the distinct ones of the slice
-        are looked up, and their ids are gathered into those of the texts."""
-        if len(self.units) > CACHE_UNITS:  # what is used goes on in the new dictionary
-            self.older, self.units = self.units, {}
+        Units are split off, told apart and looked up by Arrow; the ids of the distinct ones
+        of the slice are gathered into those of the texts. The space before a unit is left out
+        of it, a line feed is part of it, and the first unit of a text begins with a NUL."""
         odd = pc.match_substring_regex(texts, _ODD)
         plain = texts.filter(pc.invert(odd))
         marked = pc.binary_join_element_wise("\x00", pc.replace_substring(plain, "\n", " \n"), "")
         lists = pc.split_pattern(marked, " ")
         units = lists.flatten().dictionary_encode()
-        ids, sizes = self._found(units.dictionary.to_numpy(zero_copy_only=False).tolist())
-        starts = np.cumsum(sizes, dtype=np.int32) - sizes
+        ids, sizes = self._found(units.dictionary)
         index = units.indices.to_numpy(zero_copy_only=False)
-        lengths = sizes[index]
-        ends = np.cumsum(lengths, dtype=np.int32)
-        place = np.repeat(starts[index] - (ends - lengths), lengths)
-        place += np.arange(len(place), dtype=np.int32)
-        data, width = ids[place].tobytes(), self.dtype.itemsize
+        gathered, ends = _gathered(ids, np.cumsum(sizes, dtype=np.int32) - sizes, sizes, index)
+        data, width = gathered.tobytes(), self.dtype.itemsize
         counts = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
         cuts = [0, *(np.concatenate([[0], ends]).astype(np.int64)[np.cumsum(counts)] * width).tolist()]
         whole = iter([data[a:b] for a, b in zip(cuts, cuts[1:], strict=False)])
@@ -122,49 +118,107 @@ class UnitEncoder:
         for i, is_odd in enumerate(odd.to_pylist()):
             if is_odd:
                 text = texts[i].as_py()
-                out.append(b"".join(self._whole([text] if _WHOLE.search(text) else _UNIT.findall(text))))
+                out.append(b"".join(x.tobytes() for x in self._whole([text] if _WHOLE.search(text) else _UNIT.findall(text))))
             else:
                 out.append(next(whole))
         return out
 
-    def _found(self, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all ``keys`` in a row, and how many each has."""
-        known, older = self.units, self.older
-        found = list(map(known.get, keys))
-        unseen = {i: k for i, (k, v) in enumerate(zip(keys, found, strict=True)) if v is None}
-        if older:
-            known.update((k, older[k]) for k in unseen.values() if k in older)
-        new = [k for k in unseen.values() if k not in known]
-        marked = [u for u in new if u[-1:] in self.marks and _MARKED.fullmatch(u)]
-        self._learn(list({*new, *(u[:-1] for u in marked if u[:-1] not in known)}.difference(marked)))
-        for u in marked:
-            known[u] = known[u[:-1]] + self.marks[u[-1]]
-        for i, k in unseen.items():
-            found[i] = known[k]
-        sizes = np.fromiter(map(len, found), np.int32, len(found)) // np.int32(self.dtype.itemsize)
-        return np.frombuffer(b"".join(found), self.dtype), sizes
-
-    def _learn(self, keys: list[str]) -> None:
-        """Encodes new units, many in one string, and cuts the ids where the units end."""
-        apart = [k for k in keys if k[:1] == "\x00" or k[-1:] in ("", "\n")]
-        if apart:
-            self.units.update(zip(apart, self._whole([self._text(k) for k in apart]), strict=True))
-            lone = set(apart)
-            keys = [k for k in keys if k not in lone]
-        groups = [keys[i : i + JOINED_UNITS] for i in range(0, len(keys), JOINED_UNITS)]
-        strings = [[k if k[0] == "\n" else f" {k}" for k in g] for g in groups]
-        found = self.tokenizer.encode_batch_fast(["".join(s) for s in strings], add_special_tokens=False)
-        size = self.dtype.itemsize
-        for group, parts, encoding in zip(groups, strings, found, strict=True):
-            ids = np.asarray(encoding.ids, dtype=self.dtype)
-            ends = np.cumsum([len(p) if p.isascii() else len(p.encode()) for p in parts])
-            reached = np.cumsum(self.token_bytes[ids])
-            cuts = np.searchsorted(reached, ends) + 1
-            if cuts[-1] > len(reached) or not (reached[cuts - 1] == ends).all():  # a unit does not end at a token
-                self.units.update(zip(group, self._whole(parts), strict=True))
-                continue
-            data, cuts = ids.tobytes(), (cuts * size).tolist()
-            self.units.update(zip(group, map(data.__getitem__, map(slice, [0, *cuts], cuts)), strict=True))
+    def _found(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all distinct ``units`` in a row, and how many each has. A word with marks
+        behind it is looked up as the word and the marks."""
+        words = pc.ascii_rtrim(units, characters=_MARKS)
+        apart = np.flatnonzero(pc.not_equal(pc.binary_length(words), pc.binary_length(units)))
+        both = units.take(pa.array(apart))
+        fits = pc.match_substring_regex(words.take(pa.array(apart)), _WORD + "$")
+        if self.special:
+            fits = pc.and_not(fits, pc.match_substring_regex(both, self.special))
+        apart, both = apart[fits.to_numpy(zero_copy_only=False)], both.filter(fits)
+        is_apart = np.zeros(len(units), bool)
+        is_apart[apart] = True
+        marks = pc.binary_join_element_wise("\x00", pc.replace_substring_regex(both, _WORD, ""), "")
+        parts = pa.concat_arrays([pc.if_else(pa.array(is_apart), words, units), marks]).dictionary_encode()
+        place = self._places(parts.dictionary)[parts.indices.to_numpy(zero_copy_only=False)]
+        first = np.arange(len(units)) + np.cumsum(is_apart) - is_apart
+        order = np.empty(len(place), place.dtype)
+        order[first], order[first[apart] + 1] = place[: len(units)], place[len(units) :]
+        ids, ends = _gathered(self.ids, self.starts, self.sizes, order)
+        sizes = np.diff(ends[first + is_apart], prepend=np.int32(0))
+        self._trim()
+        return ids, sizes
+
+    def _places(self, units: pa.Array) -> np.ndarray:
+        """Where distinct ``units`` are in the dictionary; those not in it are encoded and added."""
+        found = pc.index_in(units, value_set=self.units)
+        place = pc.fill_null(found, -1).to_numpy(zero_copy_only=False).copy()
+        if found.null_count:
+            new = units.filter(pc.is_null(found))
+            alone = pc.or_(pc.starts_with(new, "\x00"), pc.or_(pc.ends_with(new, "\n"), pc.equal(new, "")))
+            lone, joined = new.filter(alone), new.filter(pc.invert(alone))
+            new = pa.concat_arrays([joined, lone])
+            ids, sizes = self._learn(joined)
+            each = self._whole([_text(u) for u in lone.to_pylist()])
+            sizes = np.concatenate([sizes, np.fromiter(map(len, each), np.int32, len(each))])
+            self.starts = np.concatenate([self.starts, np.cumsum(sizes, dtype=np.int32) - sizes + np.int32(len(self.ids))])
+            self.sizes = np.concatenate([self.sizes, sizes])
+            self.ids = np.concatenate([self.ids, ids, *each])
+            unknown, known = place < 0, len(self.units)
+            at = np.empty(len(new), place.dtype)
+            is_alone = alone.to_numpy(zero_copy_only=False)
+            at[~is_alone] = np.arange(known, known + len(joined))
+            at[is_alone] = np.arange(known + len(joined), known + len(new))
+            place[unknown] = at
+            self.units = pa.concat_arrays([self.units, new])
+            self.used = np.concatenate([self.used, np.zeros(len(new), np.int32)])
+        self.slices += 1
+        self.used[place] = self.slices
+        return place
+
+    def _learn(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of new units in a row, and how many each has: many are encoded in one
+        string, and its ids are cut where the units end."""
+        if not len(units):
+            return np.empty(0, self.dtype), np.empty(0, np.int32)
+        strings = pc.if_else(pc.starts_with(units, "\n"), units, pc.binary_join_element_wise("", units, " "))
+        limits = np.append(np.arange(0, len(units), JOINED_UNITS, dtype=np.int32), np.int32(len(units)))
+        found = self._whole(pc.binary_join(pa.ListArray.from_arrays(pa.array(limits), strings), "").to_pylist())
+        ids = np.concatenate(found)
+        ends = np.cumsum(pc.binary_length(strings).to_numpy(zero_copy_only=False), dtype=np.int64)
+        reached = np.cumsum(self.token_bytes[ids])
+        last = np.searchsorted(reached, ends)
+        strings_end = np.cumsum(np.fromiter(map(len, found), np.int64, len(found))) - 1
+        if (last[limits[1:] - 1] == strings_end).all() and (reached[last] == ends).all():
+            return ids, np.diff(last, prepend=-1).astype(np.int32)
+        if len(found) > 1:  # a unit does not end at a token: string by string
+            parts = [self._learn(units.slice(i, JOINED_UNITS)) for i in limits[:-1].tolist()]
+            return np.concatenate([x for x, _ in parts]), np.concatenate([x for _, x in parts])
+        found = self._whole(strings.to_pylist())
+        return np.concatenate(found), np.fromiter(map(len, found), np.int32, len(found))
+
+    def _trim(self) -> None:
+        """Cuts a full dictionary to half its bounds; what was used last stays."""
+        if len(self.units) <= CACHE_UNITS and self.units.nbytes <= CACHE_BYTES:
+            return
+        order = np.argsort(-self.used, kind="stable")[: CACHE_UNITS // 2]
+        size = pc.binary_length(self.units).to_numpy(zero_copy_only=False)[order] + 4
+        order = np.sort(order[np.cumsum(size, dtype=np.int64) <= CACHE_BYTES // 2])
+        self.units, self.used = self.units.take(pa.array(order)), self.used[order]
+        self.ids, ends = _gathered(self.ids, self.starts, self.sizes, order)
+        self.sizes = self.sizes[order]
+        self.starts = ends - self.sizes
+
+
+def _text(unit: str) -> str:
+    """The text of a unit: see ``UnitEncoder.encode``."""
+    return unit[1:] if unit[:1] == "\x00" else unit if unit[:1] == "\n" else f" {unit}"
+
+
+def _gathered(ids: np.ndarray, starts: np.ndarray, sizes: np.ndarray, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of the units ``index`` in a row, and where each ends."""
+    lengths = sizes[index]
+    ends = np.cumsum(lengths, dtype=np.int32)
+    place = np.repeat(starts[index] - (ends - lengths), lengths)
+    place += np.arange(len(place), dtype=np.int32)
+    return ids[place], ends
 
 
 def _write_blocks(definition, end_id: int, block_ids: int):

@@ -101,6 +101,51 @@ def test_units_are_encoded_as_whole_texts(parts):
     assert np.frombuffer(encoder.encode(pa.array(["x", text]))[1], encoder.dtype).tolist() == want
 
 
+class Counted:
+    """A tokenizer that counts the characters it is given."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.characters = tokenizer, 0
+
+    def encode_batch_fast(self, texts, **options):
+        self.characters += sum(map(len, texts))
+        return self.tokenizer.encode_batch_fast(texts, **options)
+
+
+def marked_words(n):
+    words = ["".join("abcdefghéж"[int(d)] for d in str(i * 7919 + 100_000)) for i in range(n)]
+    return [" ".join(w + mark for w in words) for mark in ("", ".", ",", "...", "&&&", "%%%", "!?", ").", "_", "'")]
+
+
+def test_a_word_is_encoded_once_whatever_marks_follow_it():
+    with open(JSON, encoding="utf-8") as f:
+        encoder = UnitEncoder(f.read())
+    encoder.tokenizer = Counted(encoder.tokenizer)
+    texts = marked_words(500)
+    got = encoder.encode(pa.array(texts)) + encoder.encode(pa.array(texts[::-1]))[::-1]
+    want = [x.ids for x in encoder.tokenizer.tokenizer.encode_batch(texts, add_special_tokens=False)] * 2
+    assert [np.frombuffer(x, encoder.dtype).tolist() for x in got] == want
+    assert encoder.tokenizer.characters < 1.5 * len(texts[0])
+
+
+@pytest.mark.parametrize("units, size", [(100, 1 << 20), (1 << 20, 2000)])
+def test_a_full_dictionary_keeps_what_was_used_last(monkeypatch, units, size):
+    monkeypatch.setattr("panelspark.llm.token_files.CACHE_UNITS", units)
+    monkeypatch.setattr("panelspark.llm.token_files.CACHE_BYTES", size)
+    with open(JSON, encoding="utf-8") as f:
+        encoder = UnitEncoder(f.read())
+    encoder.tokenizer = Counted(encoder.tokenizer)
+    often = marked_words(20)[0]
+    texts = [f"{often} {x}" for x in marked_words(90)] + ["x" * 5000, f"{often} <|endoftext|>. a<|endoftext|>"]
+    for text in texts:
+        got = np.frombuffer(encoder.encode(pa.array([text]))[0], encoder.dtype).tolist()
+        assert got == encoder.tokenizer.tokenizer.encode(text, add_special_tokens=False).ids
+        assert len(encoder.units) <= units and encoder.units.nbytes <= size + 64
+    before = encoder.tokenizer.characters
+    encoder.encode(pa.array([often]))
+    assert encoder.tokenizer.characters == before
+
+
 @given(st.lists(st.integers(0, 5000), max_size=300), st.integers(0, 6))
 def test_elias_fano(gaps, shift):
     values = np.cumsum(np.asarray(gaps, dtype=np.int64) << shift)
