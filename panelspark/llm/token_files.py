@@ -43,8 +43,8 @@ from panelspark.llm.elias_fano import EliasFano
 BLOCK_IDS = 1 << 20
 #: Units, and bytes of them, above which a worker's dictionary is cut to the half used last.
 CACHE_UNITS, CACHE_BYTES = 1_000_000, 32 << 20
-#: Bytes of text encoded together, and new units per string given to the library.
-SLICE_BYTES, JOINED_UNITS = 16 << 20, 64
+#: Bytes of text encoded together, new units per string given to the library, and characters per call of it.
+SLICE_BYTES, JOINED_UNITS, CALL_CHARACTERS = 16 << 20, 64, 1 << 18
 
 #: What keeps a text from being split at each space: a NUL, white space other than the space and the
 #: line feed, or two of these in a row or at an end.
@@ -93,8 +93,14 @@ class UnitEncoder:
         return cls._made[key]
 
     def _whole(self, texts: list[str]) -> list[np.ndarray]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.asarray(x.ids, dtype=self.dtype) for x in found]
+        """Ids of each text. The library's own results are far larger, so it gets a part at a time."""
+        filled = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts))) // CALL_CHARACTERS
+        cuts = [0, *(np.flatnonzero(np.diff(filled)) + 1).tolist(), len(texts)]
+        out = []
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            found = self.tokenizer.encode_batch_fast(texts[a:b], add_special_tokens=False)
+            out += [np.asarray(x.ids, dtype=self.dtype) for x in found]
+        return out
 
     def encode(self, texts: pa.Array) -> list[bytes]:
         """Little-endian ids of each text.

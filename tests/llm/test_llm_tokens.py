@@ -105,10 +105,11 @@ class Counted:
     """A tokenizer that counts the characters it is given."""
 
     def __init__(self, tokenizer):
-        self.tokenizer, self.characters = tokenizer, 0
+        self.tokenizer, self.characters, self.most = tokenizer, 0, 0
 
     def encode_batch_fast(self, texts, **options):
         self.characters += sum(map(len, texts))
+        self.most = max(self.most, sum(map(len, texts)))
         return self.tokenizer.encode_batch_fast(texts, **options)
 
 
@@ -146,6 +147,17 @@ def test_a_full_dictionary_keeps_what_was_used_last(monkeypatch, units, size):
     assert encoder.tokenizer.characters == before
 
 
+def test_the_library_gets_a_part_of_a_slice_at_a_time(monkeypatch):
+    monkeypatch.setattr("panelspark.llm.token_files.CALL_CHARACTERS", 2000)
+    with open(JSON, encoding="utf-8") as f:
+        encoder = UnitEncoder(f.read())
+    encoder.tokenizer = Counted(encoder.tokenizer)
+    texts = [*marked_words(2000), "x" * 900, "y" * 1500, "two  spaces " * 20]
+    got = [np.frombuffer(x, encoder.dtype).tolist() for x in encoder.encode(pa.array(texts))]
+    assert got == [x.ids for x in encoder.tokenizer.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert encoder.tokenizer.most <= 2000 + 1500
+
+
 @given(st.lists(st.integers(0, 5000), max_size=300), st.integers(0, 6))
 def test_elias_fano(gaps, shift):
     values = np.cumsum(np.asarray(gaps, dtype=np.int64) << shift)
