@@ -158,9 +158,12 @@ def _distance(
     center: pd.Series, scatter: pd.Series, x1: pd.Series, x2: pd.Series, x3: pd.Series, x4: pd.Series,
     w: pd.Series, e3: pd.Series, e4: pd.Series,
 ) -> pd.Series:
-    """Squared distance by an estimate and the document's own sampling variance; null without an estimate."""
+    """Squared distance by an estimate and the document's own sampling variance; null without an estimate.
+
+    Documents without words have no statistics and no distance: with a missing variance the matrix can be singular.
+    """
     out = np.full(len(w), np.nan)
-    some = np.flatnonzero(center.notna().to_numpy() & w.notna().to_numpy())
+    some = np.flatnonzero(np.logical_and.reduce([c.notna() for c in (center, x1, x2, x3, x4, w, e3, e4)]))
     if len(some):
         pick = lambda c: c.to_numpy(dtype=float)[some]
         y = np.stack([pick(x1), pick(x2), pick(x3), pick(x4)], axis=1) - np.stack(center.to_numpy()[some])
